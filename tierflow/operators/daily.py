@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,9 +102,7 @@ def recency(time: Column, dtype: T.DataType, tie_break: Column) -> Column:
 
     Used to pick the last value repeatably when several rows share a time.
     """
-    shifted = epoch_micros(time, dtype).cast("decimal(18,0)") * F.lit(10**20).cast(
-        "decimal(21,0)"
-    )
+    shifted = epoch_micros(time, dtype).cast("decimal(18,0)") * F.lit(Decimal(10**20))
     return (shifted + tie_break.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 

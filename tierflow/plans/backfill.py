@@ -20,7 +20,8 @@ def wanted_days(tables: DataFrame, first: str, last: str) -> DataFrame:
     ``first`` and ``last`` name date columns of ``tables``.
     """
     days = calendar_days(F.col(first).cast("date"), F.col(last).cast("date"))
-    return tables.select("table_id", F.explode(days).cast("string").alias("day"))
+    calendar = tables.select("table_id", F.explode(days).alias("day"))
+    return calendar.withColumn("day", F.col("day").cast("string"))
 
 
 def missing_days(
