@@ -5,8 +5,8 @@ Ids: FN-1, FN-2, FN-3, FN-7, FN-8, PRJ-9.
 With ANSI mode on the plain parsers raise on the first mismatch, so a
 ``coalesce`` of them never reaches its second pattern.  The ``try_`` family
 returns NULL, but a failed attempt costs an exception per row.  The accepted
-text shapes exclude each other, so the shape is looked at first and every row
-is parsed once.
+text shapes exclude each other, so the shape is looked at first: every row is
+parsed once at most, and text of no known shape not at all.
 """
 
 from __future__ import annotations
@@ -22,6 +22,17 @@ SECOND_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 SPACED = "yyyy-MM-dd HH:mm:ss"
 DAY = "yyyy-MM-dd"
 
+# What text must look like to have a chance with each pattern. Spark's parser
+# ignores case and takes one to six fraction digits.
+_DATE_SHAPE = r"^[+-]?\d{4,}-\d\d-\d\d"
+_CLOCK_SHAPE = r"\d\d:\d\d:\d\d"
+_SHAPES = {
+    FRACTION_Z: _DATE_SHAPE + "[Tt]" + _CLOCK_SHAPE + r"\.\d{1,6}[Zz]$",
+    SECOND_Z: _DATE_SHAPE + "[Tt]" + _CLOCK_SHAPE + "[Zz]$",
+    SPACED: _DATE_SHAPE + " " + _CLOCK_SHAPE + "$",
+    DAY: _DATE_SHAPE + "$",
+}
+
 # Columns a record's calendar day may come from, best first.
 DAY_CANDIDATES = ("PartitionDate", "BestUtcDateTime", "timeutc", "datetimeutc")
 
@@ -55,46 +66,29 @@ def normalize_identifier(value: str | Column) -> Column:
     return F.regexp_replace(text, r"^[\[\]\s]+|[\[\]\s]+$", "")
 
 
-def _has(text: Column, piece: str) -> Column:
-    # Spark's datetime parser ignores case, so "t" counts as the separator too.
-    return F.contains(F.upper(text), F.lit(piece))
+def _by_shape(text: Column, *patterns: str) -> Column:
+    """Timestamp by the one pattern whose shape the text has, else NULL."""
+    chain = F
+    for pattern in patterns:
+        chain = chain.when(
+            text.rlike(_SHAPES[pattern]), F.try_to_timestamp(text, F.lit(pattern))
+        )
+    return chain.cast("timestamp")
 
 
 def text_to_timestamp(value: str | Column) -> Column:
     """Parse the three timestamp shapes; anything else is NULL."""
-    text = _as_column(value)
-
-    def parsed(pattern: str) -> Column:
-        return F.try_to_timestamp(text, F.lit(pattern))
-
-    return (
-        F.when(~_has(text, "T"), parsed(SPACED))
-        .when(_has(text, "."), parsed(FRACTION_Z))
-        .otherwise(parsed(SECOND_Z))
-        .cast("timestamp")
-    )
+    return _by_shape(_as_column(value), FRACTION_Z, SECOND_Z, SPACED)
 
 
 def text_to_date(value: str | Column) -> Column:
     """Parse a bare day or a whole-second Z timestamp as a date."""
-    text = _as_column(value)
-    return F.when(
-        _has(text, "T"), F.to_date(F.try_to_timestamp(text, F.lit(SECOND_Z)))
-    ).otherwise(F.to_date(F.try_to_timestamp(text, F.lit(DAY))))
+    return F.to_date(_by_shape(_as_column(value), DAY, SECOND_Z))
 
 
 def text_to_event_date(value: str | Column) -> Column:
     """Day of a fractional Z timestamp, a spaced timestamp or a bare day."""
-    text = _as_column(value)
-
-    def day(pattern: str) -> Column:
-        return F.to_date(F.try_to_timestamp(text, F.lit(pattern)))
-
-    return (
-        F.when(_has(text, "T"), day(FRACTION_Z))
-        .when(_has(text, " "), day(SPACED))
-        .otherwise(day(DAY))
-    )
+    return F.to_date(_by_shape(_as_column(value), FRACTION_Z, SPACED, DAY))
 
 
 def day_of(value: Column, dtype: T.DataType) -> Column | None:

@@ -57,7 +57,7 @@ class _Partial:
     """How one partial column is computed from rows and merged with its like."""
 
     suffix: str
-    from_rows: Callable[[Column, Column], Column]
+    from_rows: Callable[[Column, Column | None], Column]
     merge: Callable[[str], Column]
 
 
@@ -125,14 +125,24 @@ def _reduced(
     time_column: str,
     tie_break: str | None,
 ) -> DataFrame:
-    dtype = rows.schema[time_column].dataType
-    wants_last = any(aggregate_name(how) == "last" for how in metrics.values())
-
-    def order_of(metric: str) -> Column:
-        if not wants_last:
-            return F.lit(None)
-        tie = F.col(tie_break) if tie_break else F.xxhash64(F.col(f"`{metric}`"))
-        return recency(F.col(time_column), dtype, tie)
+    last = [m for m, how in metrics.items() if aggregate_name(how) == "last"]
+    if last:
+        dtype = rows.schema[time_column].dataType
+        ties = {
+            m: F.col(tie_break) if tie_break else F.xxhash64(F.col(f"`{m}`"))
+            for m in (last[:1] if tie_break else last)
+        }
+        rows = rows.withColumns(
+            {
+                f"{_WHEN}_{m}": recency(F.col(time_column), dtype, tie)
+                for m, tie in ties.items()
+            }
+        )
+
+    def order_of(metric: str) -> Column | None:
+        if metric not in last:
+            return None
+        return F.col(f"{_WHEN}_{last[0] if tie_break else metric}")
 
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_ROWS),

@@ -1,8 +1,8 @@
 """Row numbers within groups that may be arbitrarily large. Ids: WIN-1, WIN-2, SRT-4.
 
 ``row_number`` sorts a whole group in one task.  That is right while groups are
-moderate; the largest one is measured first, and beyond the bound every group is
-cut into range slices that are numbered apart and shifted by the rows before them.
+moderate; sizes are measured first, and beyond the bound every group is cut into
+range slices that are numbered apart and shifted by the rows before them.
 """
 
 from __future__ import annotations
@@ -26,21 +26,20 @@ def number_rows(
     name: str,
     group_bound: int = GROUP_BOUND,
 ) -> DataFrame:
-    """Distinct rows with the 1-based position of their first copy in the group.
+    """Rows with their 1-based position in the group.
 
-    Identical rows collapse to one before the shuffle, yet each copy still takes
-    a position, so the numbers behind it show a gap.  Columns not named in
-    ``order`` break its ties, which makes the numbering repeatable.
+    Columns not named in ``order`` break its ties, which makes the numbering
+    repeatable.  Past the bound identical rows come out once, with the position
+    of their first copy; every copy still takes a position of its own.
     """
     columns = frame.columns
-    rows = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
     full_order = [*order, *[F.col(c).asc_nulls_last() for c in columns]]
-    largest = rows.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-    if largest <= group_bound:
+    # No group can be larger than the whole, and a plain count is the cheaper look.
+    if frame.count() <= group_bound or _largest(frame, group) <= group_bound:
         within = Window.partitionBy(*group).orderBy(*full_order)
-        return rows.select(*columns, (_copies_before(within) + 1).alias(name))
+        return frame.withColumn(name, F.row_number().over(within))
 
+    rows = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
     # Slice numbers depend on sampled boundaries, so they are fixed on disk first.
     scratch_root(frame.sparkSession)
     sliced = (
@@ -60,6 +59,10 @@ def number_rows(
     )
 
 
+def _largest(frame: DataFrame, group: list[str]) -> int:
+    return frame.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
 def _copies_before(window) -> Column:
     """Rows ahead of the current one, copies included."""
     ahead = window.rowsBetween(Window.unboundedPreceding, -1)

@@ -22,7 +22,23 @@ from tierflow.plans.ledger import RunContext, done_days, logged_step, read_ledge
 from tierflow.sinks.partitions import WriteReport, replace_partitions
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.declared import TableSpec
-from tierflow.sources.scans import partition_inventory, path_exists, read_raw
+from tierflow.sources.scans import (
+    literal_rows,
+    partition_inventory,
+    path_exists,
+    read_raw,
+)
+
+_WINDOWS = T.StructType(
+    [
+        T.StructField("table_id", T.IntegerType()),
+        T.StructField("first", T.StringType()),
+        T.StructField("last", T.StringType()),
+    ]
+)
+_TABLE_DAYS = T.StructType(
+    [T.StructField("table_id", T.IntegerType()), T.StructField("day", T.StringType())]
+)
 
 
 def table_path(root: str, table_id: int) -> str:
@@ -121,9 +137,10 @@ def plan_backfill(
     forced: Iterable[int] = (),
 ) -> DataFrame:
     """``(table_id, day, forced)`` still to load, all tables in one plan."""
-    tables = spark.createDataFrame(
-        [(table_id, iso(first), iso(last)) for table_id in table_ids],
-        "table_id int, first string, last string",
+    tables = literal_rows(
+        spark,
+        [{"table_id": i, "first": iso(first), "last": iso(last)} for i in table_ids],
+        _WINDOWS,
     )
     return missing_days(
         wanted_days(tables, "first", "last"),
@@ -138,7 +155,7 @@ def existing_days(
     spark: SparkSession, out_root: str, table_ids: Iterable[int]
 ) -> DataFrame:
     """``(table_id, day)`` present on disk, from the file listing."""
-    held = spark.createDataFrame([], "table_id int, day string")
+    held = literal_rows(spark, [], _TABLE_DAYS)
     for table_id in table_ids:
         path = table_path(out_root, table_id)
         if path_exists(spark, path):

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tierflow.functions.days import Day, iso, listed_days
 from tierflow.sinks.append import append_rows
 from tierflow.sinks.partitions import WriteReport
-from tierflow.sources.scans import path_exists
+from tierflow.sources.scans import literal_rows, path_exists
 
 # Fields of a ledger row.
 LEDGER_SCHEMA = T.StructType(
@@ -85,7 +85,7 @@ def ledger_row(
 
 
 def record(spark: SparkSession, ledger: str, rows: list[dict]) -> None:
-    append_rows(spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1), ledger)
+    append_rows(literal_rows(spark, rows, LEDGER_SCHEMA), ledger)
 
 
 def logged_step(
@@ -123,7 +123,7 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
             return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
     elif spark.catalog.tableExists(ledger):
         return spark.read.table(ledger)
-    return spark.createDataFrame([], LEDGER_SCHEMA)
+    return literal_rows(spark, [], LEDGER_SCHEMA)
 
 
 def done_days(ledger: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -7,10 +7,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierflow.sources.scans import path_exists
+from tierflow.sources.scans import literal_rows, path_exists
 
-_NOTHING = "dataset string, day string, rows bigint"
+_DATASET = T.StructType([T.StructField("dataset", T.StringType())])
+_DAYS = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("day", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]
+)
 
 
 def output_days(
@@ -29,14 +37,14 @@ def output_days(
         for name, (path, day) in outputs.items()
         if path_exists(spark, path)
     ]
-    return reduce(DataFrame.union, counted, spark.createDataFrame([], _NOTHING))
+    return reduce(DataFrame.union, counted, literal_rows(spark, [], _DAYS))
 
 
 def verify_outputs(
     spark: SparkSession, outputs: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
     """One row per output: rows and sorted days; a missing one has zero rows."""
-    names = spark.createDataFrame([(name,) for name in outputs], "dataset string")
+    names = literal_rows(spark, [{"dataset": name} for name in outputs], _DATASET)
     found = (
         output_days(spark, outputs)
         .groupBy("dataset")

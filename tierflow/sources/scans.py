@@ -90,6 +90,20 @@ def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=False, inferSchema=False)
 
 
+def literal_rows(
+    spark: SparkSession, rows: list[dict], schema: T.StructType
+) -> DataFrame:
+    """A handful of control rows as a plan of literals, in one partition."""
+    records = [
+        F.struct(
+            *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+        )
+        for row in rows
+    ]
+    listed = F.array(*records).cast(T.ArrayType(schema))
+    return spark.range(0, 1, 1, 1).select(F.inline(listed))
+
+
 def optional_column(frame: DataFrame, name: str, dtype: str = "string") -> Column:
     """The named column, or a typed NULL when the frame lacks it."""
     present = name in frame.columns
