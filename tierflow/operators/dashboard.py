@@ -62,7 +62,9 @@ def _left_lookup(
         no_key, 1 + F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD))
     ).otherwise(F.lit(0))
     keyed = keyed.withColumn("__spread", spread)
-    lookup = lookup.withColumn("__still", F.lit(0).cast("bigint"))
+    # Zero for every lookup row, yet not a literal: Spark would fold that into a
+    # residual condition and leave the spread out of the shuffle key.
+    lookup = lookup.withColumn("__still", F.pmod(F.col(pairs[0][1]), F.lit(1)))
     same = [F.col(k) == F.col(column) for k, (_, column) in zip(keys, pairs)]
     joined = keyed.join(
         lookup, [*same, F.col("__spread") == F.col("__still")], "left"
