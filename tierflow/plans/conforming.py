@@ -18,7 +18,13 @@ from tierflow.operators.conform import (
     with_partition_day,
 )
 from tierflow.plans.backfill import missing_days, wanted_days
-from tierflow.plans.ledger import RunContext, done_days, logged_step, read_ledger
+from tierflow.plans.ledger import (
+    RunContext,
+    done_days,
+    logged_step,
+    read_ledger,
+    undated_tables,
+)
 from tierflow.sinks.partitions import WriteReport, replace_partitions
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.declared import TableSpec
@@ -142,13 +148,12 @@ def plan_backfill(
         [{"table_id": i, "first": iso(first), "last": iso(last)} for i in table_ids],
         _WINDOWS,
     )
-    return missing_days(
-        wanted_days(tables, "first", "last"),
-        done_days(
-            read_ledger(spark, ledger), existing_days(spark, out_root, table_ids)
-        ),
-        forced,
-    )
+    log = read_ledger(spark, ledger)
+    # Outputs are listed only where old ledger rows leave the days open.
+    undated = {row.table_id for row in undated_tables(log).collect()}
+    held = existing_days(spark, out_root, undated.intersection(table_ids))
+    done = done_days(log, held)
+    return missing_days(wanted_days(tables, "first", "last"), done, forced)
 
 
 def existing_days(

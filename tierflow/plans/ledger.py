@@ -126,6 +126,12 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return literal_rows(spark, [], LEDGER_SCHEMA)
 
 
+def undated_tables(ledger: DataFrame) -> DataFrame:
+    """Tables with successful rows from before day lists were kept."""
+    undated = (F.col("status") == "SUCCESS") & F.col("partition_dates").isNull()
+    return ledger.filter(undated).select("table_id").distinct()
+
+
 def done_days(ledger: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """``(table_id, day)`` already loaded successfully, for all tables at once.
 
@@ -139,8 +145,7 @@ def done_days(ledger: DataFrame, existing: DataFrame | None = None) -> DataFrame
         .select("table_id", F.explode("days").alias("day"))
     )
     if existing is not None:
-        undated = success.filter(F.col("partition_dates").isNull()).select("table_id")
         held = existing.filter(F.col("day").isNotNull())
-        held = held.join(undated.distinct(), "table_id", "left_semi")
+        held = held.join(undated_tables(ledger), "table_id", "left_semi")
         listed = listed.union(held.select("table_id", F.col("day").cast("string")))
     return listed.distinct()

@@ -66,11 +66,14 @@ def publish_matrices(
     table_id: int = MATRIX_TABLE_ID,
 ) -> dict[str, WriteReport]:
     """Long matrix from telemetry, wide matrix from the long one just written."""
-    layer = read_layer(
-        spark, table_path(conformed_root, table_id), context.first, context.last
-    )
     long_path = f"{out_root}/{LONG_DATASET}"
 
+    def long() -> WriteReport:
+        layer = read_layer(
+            spark, table_path(conformed_root, table_id), context.first, context.last
+        )
+        return publish(matrix_long(layer), long_path)
+
     def wide_from(report: WriteReport) -> WriteReport:
         if not report.days:
             return WriteReport(rows=0, days=(), seconds=0.0)
@@ -81,12 +84,7 @@ def publish_matrices(
         return publish(matrix_wide(dated), f"{out_root}/{WIDE_DATASET}")
 
     long_report = logged_step(
-        spark,
-        context,
-        LONG_DATASET,
-        table_id,
-        "overwrite",
-        lambda: publish(matrix_long(layer), long_path),
+        spark, context, LONG_DATASET, table_id, "overwrite", long
     )
     wide_report = logged_step(
         spark,
