@@ -41,13 +41,15 @@ def matrix_wide(long: DataFrame) -> DataFrame:
     """One row per key with a column for each of the 100 bins, NULL where empty.
 
     Takes the long matrix: it holds at most one row per key and bin, so a key
-    never gathers more than 100 rows.  The bins are stated, so no job looks for
-    them.
+    never gathers more than 100 rows.  Those narrow rows are brought together
+    by key once; without that the pivot would shuffle partial rows of 100
+    columns each.  The bins are stated, so no job looks for them.
     """
     pivoted = (
-        long.groupBy(*MATRIX_KEYS)
+        long.repartition(*MATRIX_KEYS)
+        .groupBy(*MATRIX_KEYS)
         .pivot("position_bin", list(range(BIN_COUNT)))
-        .agg(F.first("eggsincrease_sum"))
+        .agg(F.sum("eggsincrease_sum"))
     )
     return pivoted.select(
         *MATRIX_KEYS,

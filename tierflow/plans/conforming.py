@@ -95,7 +95,9 @@ def load_table(
     out = table_path(out_root, spec.table_id)
     if write_mode == "merge":
         return upsert(rows, out, spec.merge_keys, rejected=REJECTED)
-    return replace_partitions(rows, out, rejected=REJECTED)
+    # Raw files come in daily directories, so their rows already lie by day.
+    by_day = "date" in rows.columns
+    return replace_partitions(rows, out, rejected=REJECTED, gather=not by_day)
 
 
 def run(

@@ -32,6 +32,7 @@ def replace_partitions(
     path: str,
     layout: tuple[str, ...] = CONFORMED_LAYOUT,
     rejected: str | None = None,
+    gather: bool = True,
     fmt: str = "parquet",
 ) -> WriteReport:
     """Overwrite exactly the days present in ``frame`` and keep all others.
@@ -39,13 +40,16 @@ def replace_partitions(
     One job writes and counts.  Rows of a day are gathered by a rebalance, so
     file counts stay low while adaptive execution splits a day that outgrows
     the advisory partition size over several tasks.  Metrics are observed above
-    that shuffle: below it an empty input would lose them.
+    that shuffle: below it an empty input would lose them.  Rows that arrive day
+    by day already, as from a scan of daily directories, need no ``gather``:
+    every task then writes its own few days and nothing is shuffled.
 
     ``rejected`` names a per-row count that is summed and not written.
     """
     day = layout[-1]
     watch = Observation()
-    spread = frame.hint("rebalance", F.col(day)).observe(
+    placed = frame.hint("rebalance", F.col(day)) if gather else frame
+    spread = placed.observe(
         watch,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(F.col(day)).alias("days"),

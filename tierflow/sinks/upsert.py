@@ -87,7 +87,7 @@ def upsert(
     require_columns(source, merge_keys, "the upsert source")
     spark = source.sparkSession
     if not path_exists(spark, path):
-        return replace_partitions(source, path, layout, rejected, fmt)
+        return replace_partitions(source, path, layout, rejected, fmt=fmt)
 
     day = layout[-1]
     keys = [day, *[key for key in merge_keys if key != day]]
