@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, time, timedelta, timezone
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -97,12 +97,12 @@ def aggregate_name(how: str | None) -> str:
     return name if name in _AGGREGATES else "mean"
 
 
-def recency(time: Column, dtype: T.DataType, tie_break: Column) -> Column:
+def recency(moment: Column, dtype: T.DataType, tie_break: Column) -> Column:
     """One fixed-width number that orders by time and then by a bigint.
 
     Used to pick the last value repeatably when several rows share a time.
     """
-    shifted = epoch_micros(time, dtype).cast("decimal(18,0)") * F.lit(Decimal(10**20))
+    shifted = epoch_micros(moment, dtype).cast("decimal(18,0)") * F.lit(Decimal(10**20))
     return (shifted + tie_break.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
@@ -199,7 +199,8 @@ def _finished(
 def day_progress(day: str, as_of: datetime | None = None) -> list[Column]:
     """Elapsed UTC hours and fraction of the day ``as_of`` falls in, else all of it."""
     now = (as_of or datetime.now(timezone.utc)).astimezone(timezone.utc)
-    hours = now.hour + now.minute / 60.0 + now.second / 3600.0
+    midnight = datetime.combine(now.date(), time.min, timezone.utc)
+    hours = (now.replace(microsecond=0) - midnight) / timedelta(hours=1)
     today = F.col(day) == F.lit(now.date())
     return [
         F.when(today, F.lit(hours)).otherwise(F.lit(24.0)).alias("elapsed_utc_hours"),
@@ -215,11 +216,11 @@ def _dated(frame: DataFrame, metrics: Mapping[str, str]) -> tuple[DataFrame, dic
     if not present:
         raise ValueError(f"none of the metrics {list(metrics)} is in the data")
     time_column = event_time_column(frame.columns)
-    time = F.col(time_column)
+    moment = F.col(time_column)
     if isinstance(frame.schema[time_column].dataType, T.StringType):
-        day = time.try_cast("date")
+        day = moment.try_cast("date")
     else:
-        day = F.to_date(time)
+        day = F.to_date(moment)
     dated = frame.withColumn("Date", day).filter(F.col("Date").isNotNull())
     return dated, present, time_column
 
