@@ -53,10 +53,15 @@ def _stats_result(stats: DataFrame) -> DataFrame:
 # -- scans -------------------------------------------------------------------
 
 
+def _write_raw(frame: DataFrame, path: str) -> None:
+    """Raw input in daily directories, with few files per day."""
+    frame.hint("rebalance", "date").write.partitionBy("date").parquet(path)
+
+
 def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    events = given.table(spark, sf_dir, "events")
-    events.withColumn("date", F.to_date("ts")).write.partitionBy("date").parquet(path)
+    events = given.table(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
+    _write_raw(events, path)
     return read_raw(spark, path, days=SCAN_DAYS).select(
         "event_id", "user_id", "value", F.col("date").cast("string").alias("day")
     )
@@ -448,7 +453,7 @@ def verified_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_root(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "input")
     raw = given.raw_text_telemetry(spark, sf_dir)
-    raw.write.partitionBy("date").parquet(conforming.table_path(root, 1))
+    _write_raw(raw, conforming.table_path(root, 1))
     return root
 
 

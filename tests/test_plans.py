@@ -199,6 +199,20 @@ def test_old_ledger_rows_vouch_for_days_on_disk(spark, roots):
     assert rows_of(left) == [(1, "2026-05-02", False)]
 
 
+def test_ledger_in_the_catalog(spark, roots):
+    raw, out, _, _ = roots
+    ledger = "tierflow_test_ledger"
+    spark.sql(f"drop table if exists {ledger}")
+    write_raw(spark, raw, [raw_day(1, 1), raw_day(2, 2)])
+    conforming.run(spark, raw, out, ledger, [SPEC], "2026-05-01", "2026-05-01")
+    conforming.backfill(spark, raw, out, ledger, [SPEC], "2026-05-01", "2026-05-02")
+    assert ledger_rows(spark, ledger, "partition_dates", "is_backfill") == [
+        ("2026-05-01", False),
+        ("2026-05-02", True),
+    ]
+    assert spark.table(ledger).schema.simpleString() == LEDGER_SCHEMA.simpleString()
+
+
 def test_absent_ledger_vouches_for_nothing(spark, roots):
     assert done_days(read_ledger(spark, roots[2])).count() == 0
     assert read_ledger(spark, "no_such_ledger_table").count() == 0

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tierflow.functions.parsing import epoch_micros, event_time_column
 from tierflow.operators.dashboard import enrich, identified
 from tierflow.operators.lookups import Lookups
+from tierflow.sources.scans import require_columns
 
 # Grouping columns of the published daily statistics.
 IDENTITY = (
@@ -250,10 +251,16 @@ def enriched_daily_stats(
     as_of: datetime | None = None,
     tie_break: str | None = None,
 ) -> DataFrame:
-    """``daily_stats`` of the dashboard rows, aggregated before the joins."""
-    dated, present, time_column = _dated(identified(telemetry), metrics)
-    reduced = _reduced(dated, TELEMETRY_IDENTITY, present, time_column, tie_break)
-    merged = _merged(enrich(reduced, lookups), IDENTITY, present)
+    """``daily_stats`` of the dashboard rows, aggregated before the joins.
+
+    The first step groups by the identifiers as they come; they are cleaned on
+    the reduced rows, and the merge unites those that clean to the same text.
+    """
+    require_columns(telemetry, ("AccountId", "SiteId"), "the telemetry")
+    dated, present, time_column = _dated(telemetry, metrics)
+    keys = tuple(c for c in TELEMETRY_IDENTITY if c in dated.columns)
+    reduced = _reduced(dated, keys, present, time_column, tie_break)
+    merged = _merged(enrich(identified(reduced), lookups), IDENTITY, present)
     return _finished(merged, IDENTITY, present, as_of)
 
 
