@@ -172,13 +172,12 @@ def held_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill window per table, past the data's end; table 3's is reversed."""
+    # Dates, not text: Spark hashes fixed-width extremes but sorts for text ones.
+    day = F.to_date("ts")
     bounds = (
-        held_days(spark, sf_dir)
-        .groupBy("table_id")
-        .agg(
-            F.min("day").cast("date").alias("low"),
-            F.date_add(F.max("day").cast("date"), 3).alias("high"),
-        )
+        table(spark, sf_dir, "events")
+        .groupBy((F.col("user_id") % 3 + 1).cast("int").alias("table_id"))
+        .agg(F.min(day).alias("low"), F.date_add(F.max(day), 3).alias("high"))
     )
     reversed_one = F.col("table_id") == 3
     return bounds.select(
