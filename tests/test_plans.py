@@ -11,7 +11,12 @@ from tierflow.plans import conforming, publishing
 from tierflow.plans.backfill import missing_days, wanted_days
 from tierflow.plans.ledger import LEDGER_SCHEMA, done_days, read_ledger
 from tierflow.sources.declared import TableSpec
-from tierflow.sources.scans import literal_rows, read_layer
+from tierflow.sources.scans import (
+    laid_out_by,
+    literal_rows,
+    partition_inventory,
+    read_layer,
+)
 
 NOON = datetime(2026, 5, 9, 12, tzinfo=timezone.utc)
 SPEC = TableSpec.from_config(
@@ -98,6 +103,22 @@ def test_bounded_run_without_raw_partitions_filters_the_parsed_day(spark, roots)
     assert (report.rows, report.days) == (1, ("2026-05-02",))
 
 
+def test_plain_date_column_is_gathered_by_day(spark, roots):
+    """Many small tasks that each hold every day still give one file per day."""
+    raw, out, ledger, _ = roots
+    rows = [raw_day(i, 1 + i % 3) for i in range(60)]
+    columns = [
+        "k", "AccountId", "SiteId", "HouseIdSet", "LocalDateTime", "v", "beltids",
+        "linenmbr", "distancedonepercent", "eggsincrease", "date",
+    ]
+    path = conforming.table_path(raw, 1)
+    spark.createDataFrame(rows, columns).repartition(6).write.parquet(path)
+    assert not laid_out_by(spark, path, "date")
+    conforming.run(spark, raw, out, ledger, [SPEC], "2026-05-01", "2026-05-02")
+    held = partition_inventory(spark, conforming.table_path(out, 1))
+    assert rows_of(held.select("day", "files")) == [("2026-05-01", 1), ("2026-05-02", 1)]
+
+
 def test_backfill_loads_only_open_days_and_leaves_no_gap(spark, roots):
     raw, out, ledger, _ = roots
     write_raw(spark, raw, [raw_day(k, k) for k in (1, 2, 3, 5)])

@@ -29,6 +29,7 @@ from tierflow.sinks.partitions import WriteReport, replace_partitions
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.declared import TableSpec
 from tierflow.sources.scans import (
+    laid_out_by,
     literal_rows,
     partition_inventory,
     path_exists,
@@ -89,15 +90,14 @@ def load_table(
     as_of: datetime | None = None,
 ) -> WriteReport:
     """Conform one table and replace, or with ``"merge"`` upsert, its days."""
-    rows = conformed_rows(
-        spark, table_path(raw_root, spec.table_id), spec, first, last, days, as_of
-    )
+    raw = table_path(raw_root, spec.table_id)
+    rows = conformed_rows(spark, raw, spec, first, last, days, as_of)
     out = table_path(out_root, spec.table_id)
     if write_mode == "merge":
         return upsert(rows, out, spec.merge_keys, rejected=REJECTED)
-    # Raw files come in daily directories, so their rows already lie by day.
-    by_day = "date" in rows.columns
-    return replace_partitions(rows, out, rejected=REJECTED, gather=not by_day)
+    # Rows from daily directories lie by day already and need no shuffle.
+    gather = not laid_out_by(spark, raw, "date")
+    return replace_partitions(rows, out, rejected=REJECTED, gather=gather)
 
 
 def run(

@@ -11,12 +11,24 @@ from pyspark.sql import types as T
 from tierflow.functions.days import Day, in_days, in_window
 
 
+def _located(spark: SparkSession, path: str):
+    """The Hadoop path and the file system it lives on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target, target.getFileSystem(conf)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Ask the file system, not an exception, whether a dataset is there."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return target.getFileSystem(conf).exists(target)
+    target, files = _located(spark, path)
+    return files.exists(target)
+
+
+def laid_out_by(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether the dataset's top directories are values of ``column``."""
+    target, files = _located(spark, f"{path}/{column}=*")
+    found = files.globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def read_raw(
