@@ -3,8 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tierflow.llm import packing, token_counts, token_files
+from pyspark.sql import functions as F
+
+from tierflow.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    substring_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
+from tierflow.llm.oracle import LLM_ORACLE as LLM_ORACLE
 from tierflow.sinks.scratch import scratch_path
 
 
@@ -12,36 +25,81 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents")
+
+
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(_documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _vocabulary("byte_bpe_50k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), path, 1024, 0)
+    path = vocabulary("byte_bpe_50k.json")
+    return packing.pack(_documents(spark, sf_dir), path, 1024, 0)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels")
+    return toxicity.toxicity(_documents(spark, sf_dir), labels)
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = line_dedup.line_dedup(_documents(spark, sf_dir))
+    return edited.select(
+        "doc_id",
+        "n_lines",
+        "n_deleted",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return decontamination.decontaminate(_documents(spark, sf_dir), benchmark).drop(
+        "spans"
+    )
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "token-files")
-    token_files.write_token_files(
-        _table(spark, sf_dir, "documents"),
-        target,
-        _vocabulary("word_bpe_49k.json"),
-        end_id=2,
-    )
+    path = vocabulary("word_bpe_49k.json")
+    token_files.write_token_files(_documents(spark, sf_dir), target, path, end_id=2)
     return token_files.read_token_checks(spark, target)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _vocabulary("word_bpe_49k.json")
-    return token_counts.token_counts(_table(spark, sf_dir, "documents"), path, 2048)
+    path = vocabulary("word_bpe_49k.json")
+    return token_counts.token_counts(_documents(spark, sf_dir), path, 2048)
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(_documents(spark, sf_dir))
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(_documents(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir))
 
 
 LLM_QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
+    "op8_near_dedup": op8_near_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
-LLM_ORACLE: dict[str, str] = {}

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.sinks.scratch import scratch_path
 
@@ -26,7 +27,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = scratch_path(spark, label)
-        self._paths: dict[int, str] = {}
+        self._paths: list[tuple[DataFrame, str]] = []
         self._count = 0
 
     def keep(self, frame: DataFrame) -> DataFrame:
@@ -35,18 +36,17 @@ class Workspace:
         path = f"{self.root}/{self._count:03d}"
         frame.write.parquet(path)
         kept = self.spark.read.schema(frame.schema).parquet(path)
-        self._paths[id(kept)] = path
-        self._keep_alive = getattr(self, "_keep_alive", [])
-        self._keep_alive.append(kept)
+        self._paths.append((kept, path))
         return kept
 
     def drop(self, *frames: DataFrame) -> None:
         """Delete written tables that nothing will read any more."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for frame in frames:
-            target = jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(frame)))
+        for path in [p for kept, p in self._paths if any(kept is f for f in frames)]:
+            target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(conf).delete(target, True)
+        self._paths = [x for x in self._paths if all(x[0] is not f for f in frames)]
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -66,10 +66,13 @@ def ragged_take(
     values: np.ndarray, offsets: np.ndarray, rows: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a ragged array in the given order: their values and lengths."""
-    lengths = (offsets[1:] - offsets[:-1])[rows]
+    lengths = np.diff(offsets)[rows]
     ends = np.cumsum(lengths)
-    shift = np.repeat(offsets[:-1][rows] - (ends - lengths), lengths)
-    return values[shift + np.arange(len(shift))], lengths
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + len(values) < 2**31 else np.int64
+    at = np.repeat((offsets[:-1][rows] - (ends - lengths)).astype(kind), lengths)
+    at += np.arange(total, dtype=kind)
+    return values[at], lengths
 
 
 def offsets_of(lengths: np.ndarray) -> np.ndarray:
@@ -219,3 +222,31 @@ def per_document(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
     ).mapInArrow(run, schema)
+
+
+def annotated(
+    documents: DataFrame,
+    work: Callable[[pa.Array, pa.Array], list],
+    schema: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """All columns of ``documents`` and the ones that ``work`` adds, without a shuffle.
+
+    As ``per_document``, but a column of an added name is replaced.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+    kept = documents.drop(*names)
+    added = documents.sparkSession.createDataFrame([], schema).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_slices(batch, text_column):
+                ids = piece.column(id_column).cast(pa.int64())
+                texts = piece.column(text_column).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*piece.columns, *work(ids, texts)],
+                    names=[*piece.schema.names, *names],
+                )
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added.fields]))
