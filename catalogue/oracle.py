@@ -147,6 +147,132 @@ wanted as (
       '%Y-%m-%d') as day
   from windows where table_id <> 3)"""
 
+
+
+def _odd_id(key: str) -> str:
+    return f"""case when {key} % 11 = 3 or {key} % 13 = 5 then null
+    when {key} % 7 = 2 then {key} - 1 else {key} end::bigint"""
+
+
+def _odd_name(key: str, name: str) -> str:
+    return f"""case when {key} % 5 = 0 then 'Annex'
+    when {key} % 5 = 1 then 'Unit ' || ({key} % 4)::varchar else {name} end"""
+
+
+_SUFFIX = r"try_cast(regexp_extract({}, '(\d+)$', 1) as bigint)"
+
+_FANOUT = _DASHBOARD.replace("n_nationkey", "(n_nationkey % 13)")
+
+HARD = {
+    "range_filter_times": """
+select event_id from events
+where ts::date between date '2024-01-05' and date '2024-01-09'""",
+    "account_lookup_hard": f"""
+select {_odd_id("c_custkey")} as AccountRowId,
+  min(case when c_custkey % 9 <> 0 then c_name end) as Customer
+from customer group by 1 having AccountRowId is not null""",
+    "house_lookup_hard": f"""
+with named as (
+  select {_odd_id("s_suppkey")} as HouseRowId,
+    case when s_suppkey % 17 <> 0 then s_nationkey end::bigint as HouseAccountRowId,
+    {_odd_name("s_suppkey", "s_name")} as HouseName,
+    {_SUFFIX.format(_odd_name("s_suppkey", "s_name"))} as HouseNameOrdinalKey,
+    'a' || s_suppkey::varchar as HouseAlias,
+    case when s_suppkey % 3 <> 0 then 't' end as HouseTown
+  from supplier),
+numbered as (
+  select *, (row_number() over (partition by HouseAccountRowId order by
+    HouseNameOrdinalKey nulls last, HouseRowId, HouseName, HouseAlias,
+    HouseTown nulls last))::int as HouseOrdinal
+  from named where HouseRowId is not null and HouseAccountRowId is not null)
+select * from numbered
+qualify row_number() over (partition by HouseRowId
+  order by HouseOrdinal, HouseAccountRowId, HouseName) = 1""",
+    "site_lookup_hard": f"""
+with named as (
+  select n_regionkey::bigint as SiteIdKey, {_odd_id("n_nationkey")} as SiteRowId,
+    {_odd_name("n_nationkey", "n_name")} as SiteName,
+    {_SUFFIX.format(_odd_name("n_nationkey", "n_name"))} as SiteNameOrdinalKey,
+    'a' || n_nationkey::varchar as SiteAlias, n_name as SiteLocation
+  from nation),
+numbered as (
+  select *, (row_number() over (partition by SiteIdKey order by
+    SiteNameOrdinalKey nulls last, SiteRowId nulls last, SiteName,
+    SiteAlias))::int as SiteOrdinal
+  from named)
+select * from numbered
+qualify row_number() over (partition by SiteIdKey, SiteRowId order by SiteOrdinal) = 1""",
+    "dashboard_fanout": f"""with {_FANOUT}
+select event_id, HouseIdSet, SiteName, HouseName, Customer from dashboard""",
+    "metric_last_ties": """
+select ts::date as "Date", user_id,
+  max(hour(ts)::bigint * 100000000 + case when event_id % 3 <> 0 then event_id else 0 end)
+    as reading_last
+from events group by all""",
+    "partition_files": """
+select distinct strftime(ts, '%Y-%m-%d') as day, true as files, true as bytes
+from events""",
+    "upsert_hard": """
+with all_rows as (
+  select case when o_orderkey % 10 <> 0 then o_orderkey end as k, o_custkey,
+    o_totalprice, o_orderkey as o,
+    strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') as PartitionDate
+  from orders),
+target as (select * from all_rows where o % 3 <> 0),
+source as (
+  select k, o_custkey, round(o_totalprice + 1, 2) as o_totalprice, PartitionDate
+  from all_rows where o % 2 = 0
+  union all
+  select -o, o_custkey, o_totalprice, PartitionDate
+  from all_rows, range(2) where o % 50 = 1)
+select t.k, t.o_custkey, coalesce(s.o_totalprice, t.o_totalprice) as o_totalprice,
+  t.PartitionDate
+from target t left join source s using (PartitionDate, k, o_custkey)
+union all
+select s.k, s.o_custkey, s.o_totalprice, s.PartitionDate
+from source s anti join target t using (PartitionDate, k, o_custkey)""",
+    "run_ledger_steps": f"""with {_HELD}
+select 'run-' || week::varchar as run_id, 'table_' || runs.table_id::varchar as dataset,
+  runs.table_id,
+  case week when 2 then 'FAILED' when 3 then 'SKIPPED' else 'SUCCESS' end as status,
+  from_date, to_date,
+  case week when 2 then null when 3 then 0 else row_count end as row_count,
+  case week when 2 then null when 3 then 0 else partition_count end as partition_count,
+  case week when 2 then null when 3 then '' else (
+    select string_agg(day, ',' order by day) from held
+    where held.table_id = runs.table_id
+      and (floor((extract(day from day::date) - 1) / 7))::int = week) end
+    as partition_dates,
+  case week when 2 then null when 3 then 0.0 else 1.5 end::double
+    as write_duration_seconds,
+  case week when 2 then 'broken' end as error_message
+from runs""",
+    "publish_late_rows": f"""
+select "Date", count(*) as groups, sum(row_count)::bigint as row_count,
+  round(sum(total_mean), 2) as total
+from ({_stats("strftime(LocalDateTime::date, '%Y-%m-%d')")}) group by 1""",
+    "conform_plain_dates": """
+select event_id, t::int as source_table_id, strftime(ts, '%Y-%m-%d') as PartitionDate
+from events, range(1, 4) r(t)
+where ts::date between date '2024-01-01' and date '2024-01-20'""",
+    "skipped_then_merged": """
+select 'table_1' as dataset, count(*) as row_count,
+  count(distinct ts::date)::int as day_count
+from events""",
+    "gold_matrices": f"""with {_TELEMETRY},
+cells as (
+  select strftime(LocalDateTime, '%Y-%m-%d') as "Date", AccountId, SiteId, HouseIdSet,
+    event_type as beltids, (event_id % 4)::int as linenmbr,
+    floor(least(greatest(total - 5, 0.0::double), 99.999::double))::int as bin,
+    coalesce(reading, 0.0) as cell
+  from telemetry where total is not null),
+summed as (
+  select "Date", AccountId, SiteId, HouseIdSet, beltids, linenmbr,
+    count(distinct bin) as bins, round(sum(cell), 2) as total
+  from cells group by all)
+select *, unnest(['long', 'wide']) as matrix from summed""",
+}
+
 ORACLE = {
     "scan_partitioned": """
 select event_id, user_id, value, strftime(ts, '%Y-%m-%d') as day from events
@@ -320,4 +446,5 @@ from telemetry""",
         """,
   year(LocalDateTime::date)::int as year, month(LocalDateTime::date)::int as month""",
     ),
+    **HARD,
 }

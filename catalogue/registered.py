@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue import hard
 from catalogue import standins as given
 from tierflow.functions.days import in_window
 from tierflow.functions.parsing import (
@@ -23,7 +24,7 @@ from tierflow.operators.lookups import account_lookup, house_lookup, site_lookup
 from tierflow.plans import backfill, conforming, publishing
 from tierflow.plans.ledger import done_days, read_ledger
 from tierflow.plans.verify import verify_outputs
-from tierflow.sinks.append import append_rows
+from tierflow.sinks.append import append_to_path
 from tierflow.sinks.partitions import distinct_days, publish, replace_partitions
 from tierflow.sinks.scratch import scratch_path
 from tierflow.sinks.upsert import upsert
@@ -386,7 +387,7 @@ def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ledger")
-    append_rows(given.ledger(spark, sf_dir), path)
+    append_to_path(given.ledger(spark, sf_dir), path)
     return (
         read_ledger(spark, path)
         .groupBy("table_id", "status")
@@ -401,7 +402,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _done(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given.ledger(spark, sf_dir).createOrReplaceTempView("tierflow_run_ledger")
+    given.ledger_of_both_layers(spark, sf_dir).createOrReplaceTempView("tierflow_run_ledger")
     return done_days(
         read_ledger(spark, "tierflow_run_ledger"), given.held_days(spark, sf_dir)
     )
@@ -464,7 +465,8 @@ def silver_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = (spark, root, out, ledger, [given.SPEC])
     conforming.run(*where, "2024-01-03", "2024-01-09", as_of=AS_OF)
     conforming.run(*where, "2024-01-08", "2024-01-20", as_of=AS_OF)
-    conforming.backfill(*where, "2023-12-30", "2024-02-02", as_of=AS_OF)
+    first, last = given.event_bounds(spark, sf_dir)
+    conforming.backfill(*where, first, last, as_of=AS_OF)
     return read_layer(spark, conforming.table_path(out, 1)).select(
         "event_id",
         "AccountId",
@@ -549,4 +551,5 @@ QUERIES = {
     "silver_conform": silver_conform,
     "gold_end_to_end": gold_end_to_end,
     "preview_topk": preview_topk,
+    **hard.QUERIES,
 }

@@ -158,6 +158,25 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ledger_of_both_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ledger`` and published datasets that name the failed weeks' tables and days."""
+    loads = ledger(spark, sf_dir)
+    published = loads.filter("status = 'FAILED'").withColumns(
+        {
+            "status": F.lit("SUCCESS"),
+            "dataset": F.concat(F.lit("dashboard_daily_stats_"), "dataset"),
+        }
+    )
+    return loads.unionByName(published)
+
+
+def event_bounds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of ``events``."""
+    day = F.to_date("ts")
+    bounds = table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
+    return bounds[0].isoformat(), bounds[1].isoformat()
+
+
 def held_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(table_id, day, rows)`` with ``events`` split over three tables."""
     return (

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue.oracle import ORACLE
+from catalogue.registered import QUERIES
 from check_oracle import differences, oracle_connection
 from tests.conftest import plan_of
 
@@ -17,14 +19,14 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, oracle, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     assert "Python" not in plan_of(frame)
-    found = differences(frame.toPandas(), oracle.execute(oracle_sql()[name]).df())
+    found = differences(frame.toPandas(), oracle.execute(ORACLE[name]).df())
     assert found is None or found.startswith("equal"), found
 
 

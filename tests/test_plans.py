@@ -10,6 +10,8 @@ from tests.test_lookups import lookups  # noqa: F401  (fixture)
 from tierflow.plans import conforming, publishing
 from tierflow.plans.backfill import missing_days, wanted_days
 from tierflow.plans.ledger import LEDGER_SCHEMA, done_days, read_ledger
+from tierflow.plans.local_days import partitions_holding
+from tierflow.sinks.partitions import replace_partitions
 from tierflow.sources.declared import TableSpec
 from tierflow.sources.scans import (
     laid_out_by,
@@ -175,7 +177,7 @@ def fixture_ledger(spark):
         spark,
         [
             dict.fromkeys(LEDGER_SCHEMA.names)
-            | {"run_id": "r", "dataset": "d"}
+            | {"run_id": "r", "dataset": f"table_{t}"}
             | {"table_id": t, "status": s, "partition_dates": d}
             for t, s, d in rows
         ],
@@ -289,3 +291,61 @@ def test_matrix_failure_is_logged(spark, roots, lookups):  # noqa: F811
         publishing.run(spark, out, published, ledger, [spec], lookups, as_of=NOON)
     failed = [r for r in ledger_rows(spark, ledger, "dataset", "status") if r[1] == "FAILED"]
     assert failed == [(publishing.LONG_DATASET, "FAILED")]
+
+
+def test_published_days_do_not_count_as_loaded(spark, roots, lookups):  # noqa: F811
+    raw, out, ledger, published = roots
+    rows = [raw_day(1, 2), raw_day(2, 2, at="2026-05-03T00:10:00Z"), raw_day(3, 3), raw_day(4, 3)]
+    write_raw(spark, raw, rows)
+    conforming.run(spark, raw, out, ledger, [SPEC], "2026-05-02", "2026-05-02")
+    publishing.run(spark, out, published, ledger, [SPEC], lookups, as_of=NOON)
+    conforming.backfill(spark, raw, out, ledger, [SPEC], "2026-05-02", "2026-05-03")
+    assert read_layer(spark, conforming.table_path(out, 1)).count() == 4
+
+
+def test_rows_published_late_keep_their_day_whole(spark, roots, lookups):  # noqa: F811
+    raw, out, ledger, published = roots
+    late = raw_day(2, 6, at="2026-05-03T10:00:00Z")
+    write_raw(spark, raw, [raw_day(1, 3), late, raw_day(3, 9)])
+    conforming.run(spark, raw, out, ledger, [SPEC])
+    daily = f"{published}/{publishing.DAILY_DATASET.format(1)}"
+    for window in ((), ("2026-05-03", "2026-05-03")):
+        publishing.run(spark, out, published, ledger, [SPEC], lookups, *window, as_of=NOON)
+        stats = read_layer(spark, daily, day_column="Date").filter("Date = '2026-05-03'")
+        assert {r.row_count for r in stats.collect()} == {2}
+    path = conforming.table_path(out, 1)
+    held = partitions_holding(spark, path, "2026-05-03", "2026-05-03")
+    assert held == ["2026-05-03", "2026-05-06"]
+    # A day written since the note was taken is read in any case.
+    replace_partitions(
+        read_layer(spark, path, "2026-05-09", "2026-05-09").checkpoint(), path
+    )
+    assert "2026-05-09" in partitions_holding(spark, path, "2026-05-03", "2026-05-03")
+
+
+def test_a_late_row_in_another_directory_does_not_replace_its_day(spark, roots):
+    raw, out, ledger, _ = roots
+    columns = "k string, AccountId string, SiteId string, LocalDateTime string, v string, PartitionDate string, date string"
+    rows = [
+        ("1", "1", "3", "2026-05-01T10:00:00Z", "1", "2026-05-01", "2026-05-01"),
+        ("2", "1", "3", "2026-05-01T10:00:00Z", "1", "2026-05-01", "2026-05-01"),
+        ("3", "1", "3", "2026-05-01T10:00:00Z", "1", "2026-05-01", "2026-05-02"),
+        ("4", "1", "3", "2026-05-02T10:00:00Z", "1", "2026-05-02", "2026-05-02"),
+    ]
+    frame = spark.createDataFrame(rows, columns)
+    frame.write.partitionBy("date").parquet(conforming.table_path(raw, 1))
+    for day in ("2026-05-01", "2026-05-02"):
+        conforming.run(spark, raw, out, ledger, [SPEC], day, day)
+    kept = read_layer(spark, conforming.table_path(out, 1))
+    assert rows_of(kept.select("k", "PartitionDate")) == [
+        (1, "2026-05-01"), (2, "2026-05-01"), (3, "2026-05-01"), (4, "2026-05-02"),
+    ]
+
+
+def test_a_skipped_first_load_and_then_a_merge(spark, roots):
+    raw, out, ledger, _ = roots
+    write_raw(spark, raw, [raw_day(1, 1), raw_day(2, 2)])
+    first = conforming.run(spark, raw, out, ledger, [SPEC], "2026-06-01", "2026-06-02")
+    assert rows_of(first.verified) == [("table_1", 0, [])]
+    then = conforming.backfill(spark, raw, out, ledger, [SPEC], "2026-05-01", "2026-05-02")
+    assert rows_of(then.verified) == [("table_1", 2, ["2026-05-01", "2026-05-02"])]

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from tierflow.operators.conform import with_partition_day
 from tierflow.plans.verify import verify_outputs
-from tierflow.sinks.append import append_rows
+from tierflow.sinks.append import append_to_path
 from tierflow.sinks.partitions import distinct_days, publish, replace_partitions
 from tierflow.sinks.scratch import scratch_path, scratch_root
 from tierflow.sinks.upsert import upsert
-from tierflow.sources.scans import partition_inventory, path_exists, read_layer
+from tierflow.sinks.swap import finish_swap
+from tierflow.sources.scans import (
+    dataset_exists,
+    known_schema,
+    partition_inventory,
+    read_layer,
+)
 
 
 def layer(spark, rows, columns="k int, v string"):
@@ -181,10 +187,73 @@ def test_upsert_casts_to_the_target_and_counts_rejects(spark, path):
 
 def test_append_to_path_and_verify(spark, path):
     for _ in range(2):
-        append_rows(spark.sql("select 1 as n, 'x' as day"), path)
-    got = verify_outputs(spark, {"there": (path, "day"), "gone": (path + "-no", "day")})
-    assert rows_of(got) == [("gone", 0, []), ("there", 2, ["x"])]
-    assert path_exists(spark, path) and not path_exists(spark, path + "-no")
+        append_to_path(spark.sql("select 1 as n, 'x' as day"), path)
+    held = spark.read.option("recursiveFileLookup", True).parquet(path)
+    assert rows_of(held) == [(1, "x"), (1, "x")]
+    spark.sql("select 1 as n, 'x' as day").write.parquet(f"{path}-one")
+    outputs = {"there": (path + "-one", "day"), "gone": (path + "-no", "day")}
+    got = verify_outputs(spark, outputs)
+    assert rows_of(got) == [("gone", 0, []), ("there", 1, ["x"])]
+    assert dataset_exists(spark, path) and not dataset_exists(spark, path + "-no")
+
+
+def test_an_empty_write_is_no_dataset(spark, path):
+    nothing = layer(spark, [(1, "a", 1)]).filter("k > 5")
+    assert replace_partitions(nothing, path).status == "SKIPPED"
+    assert not dataset_exists(spark, path)
+    assert rows_of(verify_outputs(spark, {"x": (path, "PartitionDate")})) == [("x", 0, [])]
+    assert upsert(layer(spark, [(1, "a", 1)]), path, ["k"]).rows == 1
+    assert content(spark, path) == [(1, "a", "2026-05-01")]
+
+
+def test_schema_is_noted_and_no_footer_read_before_the_action(spark, path):
+    replace_partitions(layer(spark, [(1, "a", 1)]), path)
+    replace_partitions(layer(spark, [(2, "b", 2)]).withColumn("w", F.lit(5)), path)
+    assert {"k", "v", "w", "PartitionDate"} <= set(known_schema(spark, path).names)
+    spark.sparkContext.setJobGroup("reading", "reading")
+    one = read_layer(spark, path, "2026-05-02", "2026-05-02")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("reading")
+    assert [r.k for r in one.collect()] == [2] and len(one.inputFiles()) == 2
+    spark.sparkContext.setJobGroup("other", "other")
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
+def test_an_interrupted_swap_is_finished_by_the_next_run(spark, path, monkeypatch):
+    upsert(layer(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3)]), path, KEYS)
+    from tierflow.sinks import swap
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(swap, "finish_swap", die)
+    with pytest.raises(KeyboardInterrupt):
+        upsert(layer(spark, [(1, "A", 1), (4, "D", 2)]), path, KEYS)
+    monkeypatch.undo()
+    # The note is there; the first day has been moved before the driver died.
+    note = swap.read_note(spark, f"{path}/{swap.SWAP_NOTE}")
+    assert len(note["days"]) == 2
+    day = note["days"][0]
+    for name in glob.glob(f"{path}/{day}/*.parquet"):
+        open(name, "wb").close()  # a half-deleted target does not matter
+    assert finish_swap(spark, path) and not finish_swap(spark, path)
+    assert content(spark, path, "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
+    upsert(layer(spark, [(5, "E", 1)]), path, KEYS)
+    assert len(content(spark, path)) == 5
+
+
+def test_upsert_reads_its_source_once(spark, path):
+    upsert(layer(spark, [(1, "a", 1)]), path, KEYS)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = layer(spark, [(1, "A", 1), (2, "B", 1)])
+    upsert(source.mapInArrow(count, source.schema), path, KEYS)
+    assert seen.value == 2
 
 
 def test_scratch_uses_the_session_folder(spark):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,14 +15,23 @@ def iso(day: Day) -> str:
     return day.isoformat() if isinstance(day, date) else str(day)
 
 
+def shifted(day: Day, by: int) -> str:
+    """The day so many days later, as ISO text."""
+    return (date.fromisoformat(iso(day)[:10]) + timedelta(days=by)).isoformat()
+
+
 def in_window(column: str | Column, first: Day | None, last: Day | None) -> Column:
-    """Inclusive day window; a missing bound is open."""
+    """Inclusive day window; a missing bound is open.
+
+    The upper bound is the next day's start, so times inside the last day count,
+    be the column a day, a timestamp or ISO text of either.
+    """
     value = F.col(column) if isinstance(column, str) else column
     inside = F.lit(True)
     if first is not None:
         inside = inside & (value >= F.lit(iso(first)))
     if last is not None:
-        inside = inside & (value <= F.lit(iso(last)))
+        inside = inside & (value < F.lit(shifted(last, 1)))
     return inside
 
 

@@ -68,12 +68,13 @@ def normalize_identifier(value: str | Column) -> Column:
 
 def _by_shape(text: Column, *patterns: str) -> Column:
     """Timestamp by the one pattern whose shape the text has, else NULL."""
-    chain = F
-    for pattern in patterns:
-        chain = chain.when(
-            text.rlike(_SHAPES[pattern]), F.try_to_timestamp(text, F.lit(pattern))
-        )
-    return chain.cast("timestamp")
+    parsed = F.lit(None).cast("timestamp")
+    for pattern in patterns[::-1]:
+        parsed = F.when(
+            text.rlike(_SHAPES[pattern]),
+            F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp"),
+        ).otherwise(parsed)
+    return parsed
 
 
 def text_to_timestamp(value: str | Column) -> Column:
@@ -138,5 +139,7 @@ def epoch_micros(value: Column, dtype: T.DataType) -> Column:
             F.extract(F.lit("SECOND"), value) * 1_000_000
         ).cast("bigint")
     if isinstance(dtype, T.StringType):
-        return F.unix_micros(text_to_timestamp(value))
+        # Text of another shape that still casts to a day must have a place too.
+        usual = text_to_timestamp(value)
+        return F.unix_micros(F.coalesce(usual, value.try_cast("timestamp")))
     return F.unix_micros(value.cast("timestamp"))

@@ -104,7 +104,9 @@ def recency(moment: Column, dtype: T.DataType, tie_break: Column) -> Column:
     Used to pick the last value repeatably when several rows share a time.
     """
     shifted = epoch_micros(moment, dtype).cast("decimal(18,0)") * F.lit(Decimal(10**20))
-    return (shifted + tie_break.cast("decimal(19,0)")).cast("decimal(38,0)")
+    # A row without a tie break comes before any other of its time.
+    tie = F.coalesce(tie_break.cast("bigint"), F.lit(-(2**63)))
+    return (shifted + tie.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def _plan(metrics: Mapping[str, str]) -> list[tuple[str, _Partial]]:
@@ -216,14 +218,16 @@ def _dated(frame: DataFrame, metrics: Mapping[str, str]) -> tuple[DataFrame, dic
     present = {m: how for m, how in metrics.items() if m in frame.columns}
     if not present:
         raise ValueError(f"none of the metrics {list(metrics)} is in the data")
+    dated = frame.withColumn("Date", local_day(frame)).filter(F.col("Date").isNotNull())
+    return dated, present, event_time_column(frame.columns)
+
+
+def local_day(frame: DataFrame) -> Column:
+    """Calendar day of the event time."""
     time_column = event_time_column(frame.columns)
-    moment = F.col(time_column)
     if isinstance(frame.schema[time_column].dataType, T.StringType):
-        day = moment.try_cast("date")
-    else:
-        day = F.to_date(moment)
-    dated = frame.withColumn("Date", day).filter(F.col("Date").isNotNull())
-    return dated, present, time_column
+        return F.col(time_column).try_cast("date")
+    return F.to_date(time_column)
 
 
 def daily_stats(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.parsing import bigint_or_null, numeric_suffix
-from tierflow.operators.ordinals import GROUP_BOUND, number_rows
+from tierflow.operators.ordinals import integer_slices, number_rows
 from tierflow.sources.scans import optional_column, require_columns
 
 
@@ -46,7 +46,7 @@ def account_lookup(accounts: DataFrame) -> DataFrame:
     return named.groupBy("AccountRowId").agg(F.min("Customer").alias("Customer"))
 
 
-def house_lookup(houses: DataFrame, group_bound: int = GROUP_BOUND) -> DataFrame:
+def house_lookup(houses: DataFrame) -> DataFrame:
     """Houses with their ordinal inside the account, one row per house id.
 
     Ordinals are join keys: they are given before duplicates go, so a duplicate
@@ -66,12 +66,12 @@ def house_lookup(houses: DataFrame, group_bound: int = GROUP_BOUND) -> DataFrame
         ["HouseAccountRowId"],
         [F.col("HouseNameOrdinalKey").asc_nulls_last(), F.col("HouseRowId").asc()],
         "HouseOrdinal",
-        group_bound,
+        integer_slices("HouseNameOrdinalKey", "HouseRowId"),
     )
     return first_per_key(numbered, ["HouseRowId"], ["HouseOrdinal"])
 
 
-def site_lookup(sites: DataFrame, group_bound: int = GROUP_BOUND) -> DataFrame:
+def site_lookup(sites: DataFrame) -> DataFrame:
     """Sites with their ordinal inside the site key, one row per key and row id."""
     require_columns(sites, ("SiteId", "Name"), "the site lookup")
     named = sites.select(
@@ -90,7 +90,7 @@ def site_lookup(sites: DataFrame, group_bound: int = GROUP_BOUND) -> DataFrame:
             F.col("SiteRowId").asc_nulls_last(),
         ],
         "SiteOrdinal",
-        group_bound,
+        integer_slices("SiteNameOrdinalKey", "SiteRowId"),
     )
     return first_per_key(numbered, ["SiteIdKey", "SiteRowId"], ["SiteOrdinal"])
 

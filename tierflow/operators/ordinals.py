@@ -1,8 +1,8 @@
 """Row numbers within groups that may be arbitrarily large. Ids: WIN-1, WIN-2, SRT-4.
 
-``row_number`` sorts a whole group in one task.  That is right while groups are
-moderate; sizes are measured first, and beyond the bound every group is cut into
-range slices that are numbered apart and shifted by the rows before them.
+``row_number`` sorts a whole group in one task.  Here a group falls into slices by
+coarse columns that ascend with the order; slices are sorted and numbered apart and
+shifted by the rows before them.  It is one lazy plan for every size.
 """
 
 from __future__ import annotations
@@ -10,60 +10,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.sinks.scratch import scratch_root
+#: Values of an integer order column that share a slice, as a power of two.
+SLICE_BITS = 16
 
-GROUP_BOUND = 2_000_000
-
-_COPIES = "__copies"
-_SLICE = "__slice"
+_SLICE = "__slice_{}"
 _BEFORE = "__before"
 
 
+def integer_slices(*columns: str, bits: int = SLICE_BITS) -> list[Column]:
+    """Coarse columns for an order by integer columns, each with NULL last.
+
+    The first column's ranges are slices; where it is NULL the next one's are.
+    """
+    slices: list[Column] = []
+    reached = F.lit(True)
+    for name in columns:
+        value = F.col(name)
+        slices += [
+            F.when(reached, value.isNull()),
+            F.when(reached, F.shiftright(value.cast("bigint"), bits)),
+        ]
+        reached = reached & value.isNull()
+    return slices
+
+
 def number_rows(
     frame: DataFrame,
     group: list[str],
     order: list[Column],
     name: str,
-    group_bound: int = GROUP_BOUND,
+    slices: list[Column],
 ) -> DataFrame:
-    """Rows with their 1-based position in the group.
+    """Rows with their 1-based position in the group, every copy its own.
 
     Columns not named in ``order`` break its ties, which makes the numbering
-    repeatable.  Past the bound identical rows come out once, with the position
-    of their first copy; every copy still takes a position of its own.
+    repeatable.  ``slices`` must not descend along the order, NULL first.
     """
     columns = frame.columns
     full_order = [*order, *[F.col(c).asc_nulls_last() for c in columns]]
-    # No group can be larger than the whole, and a plain count is the cheaper look.
-    if frame.count() <= group_bound or _largest(frame, group) <= group_bound:
-        within = Window.partitionBy(*group).orderBy(*full_order)
-        return frame.withColumn(name, F.row_number().over(within))
-
-    rows = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    # Slice numbers depend on sampled boundaries, so they are fixed on disk first.
-    scratch_root(frame.sparkSession)
-    sliced = (
-        rows.repartitionByRange(*[F.col(g) for g in group], *full_order)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .checkpoint()
-    )
-    across = Window.partitionBy(*group).orderBy(_SLICE)
+    cut = [_SLICE.format(i) for i in range(len(slices))]
+    sliced = frame.withColumns(dict(zip(cut, slices)))
+    across = Window.partitionBy(*group).orderBy(*cut)
+    ahead = across.rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, *cut]
     shifts = (
-        sliced.groupBy(*group, _SLICE)
-        .agg(F.sum(_COPIES).alias(_COPIES))
-        .select(*group, _SLICE, _copies_before(across).alias(_BEFORE))
+        sliced.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(_BEFORE))
+        .withColumn(_BEFORE, F.coalesce(F.sum(_BEFORE).over(ahead), F.lit(0)))
+        .select(*[F.col(k).alias(f"{k}_s") for k in keys], _BEFORE)
     )
-    within = Window.partitionBy(*group, _SLICE).orderBy(*full_order)
-    return sliced.join(shifts, [*group, _SLICE]).select(
-        *columns, (F.col(_BEFORE) + _copies_before(within) + 1).alias(name)
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_s")) for k in keys]
+    within = Window.partitionBy(*keys).orderBy(*full_order)
+    numbered = sliced.join(shifts, same)
+    return numbered.select(
+        *columns, (F.col(_BEFORE) + F.row_number().over(within)).cast("int").alias(name)
     )
-
-
-def _largest(frame: DataFrame, group: list[str]) -> int:
-    return frame.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-
-def _copies_before(window) -> Column:
-    """Rows ahead of the current one, copies included."""
-    ahead = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(_COPIES).over(ahead), F.lit(0)).cast("int")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions.days import Day, in_days, in_window, iso
+from tierflow.functions.parsing import EVENT_TIME_CANDIDATES
 from tierflow.operators.conform import (
     REJECTED,
     conform,
@@ -23,16 +24,20 @@ from tierflow.plans.ledger import (
     done_days,
     logged_step,
     read_ledger,
+    table_dataset,
     undated_tables,
 )
+from tierflow.plans.local_days import note_local_days
+from tierflow.plans.verify import Reports, verify_outputs
 from tierflow.sinks.partitions import WriteReport, replace_partitions
+from tierflow.sinks.swap import finish_swap
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.declared import TableSpec
 from tierflow.sources.scans import (
+    dataset_exists,
     laid_out_by,
     literal_rows,
     partition_inventory,
-    path_exists,
     read_raw,
 )
 
@@ -63,12 +68,14 @@ def conformed_rows(
 ) -> DataFrame:
     """One lazy chain from raw files to rows ready to write.
 
-    The window prunes raw partitions.  A table without the raw ``date`` column
-    is filtered on its parsed day, so a bounded run never loads all of it.
+    Where a row's day is that of its directory, the window prunes directories.
+    Otherwise it is on the parsed day of all rows, wherever their files lie: a
+    day is then whole, and no row outside the window can replace its own day.
     """
-    raw = read_raw(spark, raw_path, first, last, days)
+    by_directory = dated_by_directory(spark, raw_path)
+    raw = read_raw(spark, raw_path, *((first, last, days) if by_directory else ()))
     rows = with_partition_day(conform(raw, spec.columns, rejects=REJECTED))
-    if "date" not in raw.columns:
+    if not by_directory:
         wanted = (
             in_days("PartitionDate", days)
             if days is not None
@@ -78,6 +85,13 @@ def conformed_rows(
     return with_lineage(rows, spec.table_id, spec.source_system, as_of)
 
 
+def dated_by_directory(spark: SparkSession, raw_path: str) -> bool:
+    """Whether the day of a row is the ``date=`` directory it lies in."""
+    if not laid_out_by(spark, raw_path, "date"):
+        return False
+    return "PartitionDate" not in read_raw(spark, raw_path).columns
+
+
 def load_table(
     spark: SparkSession,
     raw_root: str,
@@ -94,10 +108,22 @@ def load_table(
     rows = conformed_rows(spark, raw, spec, first, last, days, as_of)
     out = table_path(out_root, spec.table_id)
     if write_mode == "merge":
-        return upsert(rows, out, spec.merge_keys, rejected=REJECTED)
-    # Rows from daily directories lie by day already and need no shuffle.
-    gather = not laid_out_by(spark, raw, "date")
-    return replace_partitions(rows, out, rejected=REJECTED, gather=gather)
+        report = upsert(rows, out, spec.merge_keys, rejected=REJECTED)
+    else:
+        finish_swap(spark, out)
+        # Rows from daily directories lie by day already and need no shuffle.
+        gather = not dated_by_directory(spark, raw)
+        report = replace_partitions(rows, out, rejected=REJECTED, gather=gather)
+    if any(name in rows.columns for name in EVENT_TIME_CANDIDATES):
+        note_local_days(spark, out, report.days)
+    return report
+
+
+def verified(spark: SparkSession, out_root: str, reports: dict) -> Reports:
+    outputs = {
+        table_dataset(i): (table_path(out_root, i), "PartitionDate") for i in reports
+    }
+    return Reports(reports, verify_outputs(spark, outputs))
 
 
 def run(
@@ -110,14 +136,17 @@ def run(
     last: Day | None = None,
     write_mode: str = "overwrite",
     as_of: datetime | None = None,
-) -> dict[int, WriteReport]:
-    """Load the tables one after another; the first failure is logged and stops."""
+) -> Reports:
+    """Load the tables one after another; the first failure is logged and stops.
+
+    The reports come with what the outputs hold afterwards.
+    """
     context = RunContext(str(uuid.uuid4()), ledger, first, last)
-    return {
+    reports = {
         spec.table_id: logged_step(
             spark,
             context,
-            f"table_{spec.table_id}",
+            table_dataset(spec.table_id),
             spec.table_id,
             write_mode,
             lambda spec=spec: load_table(
@@ -133,6 +162,7 @@ def run(
         )
         for spec in specs
     }
+    return verified(spark, out_root, reports)
 
 
 def plan_backfill(
@@ -165,7 +195,7 @@ def existing_days(
     held = literal_rows(spark, [], _TABLE_DAYS)
     for table_id in table_ids:
         path = table_path(out_root, table_id)
-        if path_exists(spark, path):
+        if dataset_exists(spark, path):
             found = partition_inventory(spark, path)
             held = held.union(
                 found.select(F.lit(table_id).cast(T.IntegerType()), "day")
@@ -184,7 +214,7 @@ def backfill(
     write_mode: str = "merge",
     forced: Iterable[int] = (),
     as_of: datetime | None = None,
-) -> dict[int, WriteReport]:
+) -> Reports:
     """Load only the days the ledger does not vouch for.
 
     Forced tables reload every day and are replaced, since an upsert would read
@@ -209,7 +239,7 @@ def backfill(
         reports[table_id] = logged_step(
             spark,
             context,
-            f"table_{table_id}",
+            table_dataset(table_id),
             table_id,
             mode,
             lambda: load_table(
@@ -222,4 +252,4 @@ def backfill(
                 as_of=as_of,
             ),
         )
-    return reports
+    return verified(spark, out_root, reports)

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions.days import Day, iso, listed_days
-from tierflow.sinks.append import append_rows
+from tierflow.sinks.append import append_to_path, append_to_table
 from tierflow.sinks.partitions import WriteReport
-from tierflow.sources.scans import literal_rows, path_exists
+from tierflow.sources.scans import dataset_exists, literal_rows
 
 # Fields of a ledger row.
 LEDGER_SCHEMA = T.StructType(
@@ -85,7 +85,13 @@ def ledger_row(
 
 
 def record(spark: SparkSession, ledger: str, rows: list[dict]) -> None:
-    append_rows(literal_rows(spark, rows, LEDGER_SCHEMA), ledger)
+    frame = literal_rows(spark, rows, LEDGER_SCHEMA)
+    append_to_path(frame, ledger) if is_path(ledger) else append_to_table(frame, ledger)
+
+
+def is_path(ledger: str) -> bool:
+    """A ledger with a slash is a path, any other a catalog table."""
+    return "/" in ledger
 
 
 def logged_step(
@@ -118,18 +124,34 @@ def logged_step(
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """The ledger, empty when nothing has been logged yet."""
-    if "/" in ledger:
-        if path_exists(spark, ledger):
-            return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+    if is_path(ledger):
+        if dataset_exists(spark, ledger):
+            reader = spark.read.schema(LEDGER_SCHEMA)
+            return reader.option("recursiveFileLookup", True).parquet(ledger)
     elif spark.catalog.tableExists(ledger):
         return spark.read.table(ledger)
     return literal_rows(spark, [], LEDGER_SCHEMA)
 
 
+def table_dataset(table_id: int) -> str:
+    """Ledger name of a table's conformed dataset."""
+    return f"table_{table_id}"
+
+
+def _loads(ledger: DataFrame) -> DataFrame:
+    """Successful loads of conformed tables.
+
+    Publishing logs the same table ids under its own datasets, and a published day
+    says nothing about what has been loaded.
+    """
+    own = F.concat(F.lit("table_"), F.col("table_id").cast("string"))
+    return ledger.filter((F.col("status") == "SUCCESS") & (F.col("dataset") == own))
+
+
 def undated_tables(ledger: DataFrame) -> DataFrame:
-    """Tables with successful rows from before day lists were kept."""
-    undated = (F.col("status") == "SUCCESS") & F.col("partition_dates").isNull()
-    return ledger.filter(undated).select("table_id").distinct()
+    """Tables with successful loads from before day lists were kept."""
+    undated = _loads(ledger).filter(F.col("partition_dates").isNull())
+    return undated.select("table_id").distinct()
 
 
 def done_days(ledger: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -138,9 +160,8 @@ def done_days(ledger: DataFrame, existing: DataFrame | None = None) -> DataFrame
     Old rows without a day list vouch for whatever days the table holds, given
     as ``existing`` with the same two columns.
     """
-    success = ledger.filter(F.col("status") == "SUCCESS")
     listed = (
-        success.filter(F.col("partition_dates").isNotNull())
+        _loads(ledger).filter(F.col("partition_dates").isNotNull())
         .select("table_id", listed_days("partition_dates").alias("days"))
         .select("table_id", F.explode("days").alias("day"))
     )

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
-from datetime import date, datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.functions.days import Day, in_days, in_window, iso
+from tierflow.functions.days import Day, in_days, in_window
 from tierflow.operators.daily import enriched_daily_stats
 from tierflow.operators.lookups import Lookups
 from tierflow.operators.matrix import matrix_long, matrix_wide
 from tierflow.plans.conforming import table_path
 from tierflow.plans.ledger import RunContext, logged_step
+from tierflow.plans.local_days import partitions_holding
+from tierflow.plans.verify import Reports, verify_outputs
 from tierflow.sinks.partitions import WriteReport, publish
 from tierflow.sources.declared import TableSpec
 from tierflow.sources.scans import read_layer
@@ -26,12 +28,6 @@ WIDE_DATASET = "table_1_matrix_wide"
 MATRIX_TABLE_ID = 1
 
 
-def _shifted(day: Day | None, by: int) -> str | None:
-    if day is None:
-        return None
-    return (date.fromisoformat(iso(day)) + timedelta(days=by)).isoformat()
-
-
 def daily_rows(
     spark: SparkSession,
     conformed_root: str,
@@ -44,16 +40,15 @@ def daily_rows(
 ) -> DataFrame:
     """Statistics of the days in the window, each of them whole.
 
-    Files are laid out by partition day but statistics are by event-local day,
-    which differs around midnight.  The scan reads one day more on both sides
-    and the result keeps only the window, so no published day is a fragment.
+    Files are laid out by partition day but statistics are by event-local day.
+    The scan reads every partition that may hold a local day of the window,
+    however late its rows were stored, so no published day is a fragment.
     """
-    layer = read_layer(
-        spark,
-        table_path(conformed_root, spec.table_id),
-        _shifted(first, -1),
-        _shifted(last, 1),
-    )
+    path = table_path(conformed_root, spec.table_id)
+    layer = read_layer(spark, path)
+    if first is not None or last is not None:
+        holding = partitions_holding(spark, path, first, last)
+        layer = layer.filter(in_days("PartitionDate", holding))
     stats = enriched_daily_stats(layer, lookups, spec.metrics, as_of, tie_break)
     return stats.filter(in_window("Date", first, last))
 
@@ -109,10 +104,11 @@ def run(
     as_of: datetime | None = None,
     tie_breaks: Mapping[int, str] | None = None,
     matrix_table_id: int = MATRIX_TABLE_ID,
-) -> dict[str, WriteReport]:
+) -> Reports:
     """Statistics for every table, then the matrices of the position table.
 
-    The lookups are computed once and kept for all tables.
+    The lookups are computed once and kept for all tables.  The reports come with
+    what the outputs hold afterwards.
     """
     context = RunContext(str(uuid.uuid4()), ledger, first, last)
     kept = Lookups(
@@ -149,4 +145,6 @@ def run(
     matrices = publish_matrices(
         spark, conformed_root, out_root, context, matrix_table_id
     )
-    return reports | matrices
+    reports |= matrices
+    outputs = {name: (f"{out_root}/{name}", "Date") for name in reports}
+    return Reports(reports, verify_outputs(spark, outputs))

@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.sources.scans import literal_rows, path_exists
+from tierflow.sources.scans import dataset_exists, literal_rows, read_layer
+
+
+class Reports(dict):
+    """Write reports by dataset, and in ``verified`` what the outputs hold, lazily."""
+
+    def __init__(self, reports: Mapping, verified: DataFrame):
+        super().__init__(reports)
+        self.verified = verified
+
 
 _DATASET = T.StructType([T.StructField("dataset", T.StringType())])
 _DAYS = T.StructType(
@@ -30,12 +39,12 @@ def output_days(
     are read, so row counts come from file footers.
     """
     counted = [
-        spark.read.parquet(path)
+        read_layer(spark, path, day_column=day)
         .groupBy(F.col(day).cast("string").alias("day"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(name).alias("dataset"), "day", "rows")
         for name, (path, day) in outputs.items()
-        if path_exists(spark, path)
+        if dataset_exists(spark, path)
     ]
     return reduce(DataFrame.union, counted, literal_rows(spark, [], _DAYS))
 

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
-def append_rows(frame: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Append; a target with a slash is a path, any other is a table name."""
-    writer = frame.write.format(fmt).mode("append")
-    writer.save(target) if "/" in target else writer.saveAsTable(target)
+def append_to_table(frame: DataFrame, name: str, fmt: str = "parquet") -> None:
+    frame.write.format(fmt).mode("append").saveAsTable(name)
+
+
+def append_to_path(frame: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add a directory of its own below ``path``.
+
+    Writers that run at the same time then share no working directory, which the
+    first one to finish would clear away from under the others.
+    """
+    frame.write.format(fmt).save(f"{path}/{uuid.uuid4().hex}")

@@ -7,6 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierflow.sources.scans import (
+    SCHEMA_NOTE,
+    dataset_exists,
+    known_schema,
+    write_note,
+)
 
 # Directory levels of the conformed and of the published layer.
 CONFORMED_LAYOUT = ("year", "month", "PartitionDate")
@@ -59,6 +67,7 @@ def replace_partitions(
     )
     if rejected:
         spread = spread.drop(rejected)
+    schema = _schema_after(spread, path) if fmt == "parquet" else None
     started = time.monotonic()
     (
         spread.write.format(fmt)
@@ -69,6 +78,8 @@ def replace_partitions(
         .save(path)
     )
     seen = watch.get
+    if schema is not None and seen["days"]:
+        write_note(frame.sparkSession, f"{path}/{SCHEMA_NOTE}", schema.jsonValue())
     return WriteReport(
         rows=seen["rows"],
         days=tuple(sorted(seen["days"])),
@@ -77,6 +88,17 @@ def replace_partitions(
     )
 
 
+def _schema_after(frame: DataFrame, path: str) -> T.StructType:
+    """Columns of the dataset once ``frame`` is written; later types win."""
+    spark = frame.sparkSession
+    held = known_schema(spark, path)
+    if held is None and dataset_exists(spark, path):
+        held = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = {f.name: f for f in (held.fields if held else [])}
+    fields |= {f.name: T.StructField(f.name, f.dataType) for f in frame.schema.fields}
+    return T.StructType(list(fields.values()))
+
+
 def with_published_layout(frame: DataFrame) -> DataFrame:
     """Add ``year`` and ``month`` and turn ``Date`` into ISO text."""
     return frame.withColumns(

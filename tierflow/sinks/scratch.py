@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def scratch_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="tierflow-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root
@@ -28,3 +31,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the scratch root, never used before."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete what was written under a scratch path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)

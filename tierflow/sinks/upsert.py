@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.days import in_days
 from tierflow.sinks.partitions import CONFORMED_LAYOUT, WriteReport, replace_partitions
-from tierflow.sinks.scratch import scratch_root
-from tierflow.sources.scans import path_exists, read_layer, require_columns
+from tierflow.sinks.scratch import drop_path, scratch_path, scratch_root
+from tierflow.sinks.swap import finish_swap, swap_days
+from tierflow.sources.scans import dataset_exists, read_layer, require_columns
 
 _MATCHED = "__matched"
 
@@ -75,7 +76,6 @@ def upsert(
     merge_keys: list[str] | tuple[str, ...],
     layout: tuple[str, ...] = CONFORMED_LAYOUT,
     rejected: str | None = None,
-    fmt: str = "parquet",
 ) -> WriteReport:
     """Upsert ``source`` into the dataset at ``path``; the first write creates it.
 
@@ -86,9 +86,28 @@ def upsert(
         raise ValueError("an upsert needs merge keys; replace the partitions instead")
     require_columns(source, merge_keys, "the upsert source")
     spark = source.sparkSession
-    if not path_exists(spark, path):
-        return replace_partitions(source, path, layout, rejected, fmt=fmt)
+    finish_swap(spark, path)
+    if not dataset_exists(spark, path):
+        return replace_partitions(source, path, layout, rejected)
 
+    # The source may be a long chain; its rows are made once and used from there.
+    kept = scratch_path(spark, "upsert-source")
+    source.write.parquet(kept)
+    source = spark.read.schema(source.schema).parquet(kept)
+    try:
+        return _upsert_kept(source, path, list(merge_keys), layout, rejected)
+    finally:
+        drop_path(spark, kept)
+
+
+def _upsert_kept(
+    source: DataFrame,
+    path: str,
+    merge_keys: list[str],
+    layout: tuple[str, ...],
+    rejected: str | None,
+) -> WriteReport:
+    spark = source.sparkSession
     day = layout[-1]
     keys = [day, *[key for key in merge_keys if key != day]]
     per_key = source.groupBy(*keys).agg(
@@ -108,14 +127,14 @@ def upsert(
 
     if rejected:
         source = source.drop(rejected)
-    target = read_layer(spark, path, day_column=day, fmt=fmt).filter(in_days(day, days))
+    target = read_layer(spark, path, day_column=day).filter(in_days(day, days))
     repeats = None
     if summary["most"] > 1:
         source, repeats = _set_repeats_aside(source, target, per_key, complete, keys)
     merged = merge_rows(target, source, keys, layout)
     if repeats is not None:
         merged = merged.unionByName(repeats, allowMissingColumns=True)
-    report = replace_partitions(merged, path, layout, fmt=fmt)
+    report = swap_days(merged, path, layout)
     return WriteReport(summary["rows"], days, report.seconds, summary["rejected"])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,10 @@ from pyspark.sql import types as T
 from tierflow.functions.days import Day, in_days, in_window
 
 
+#: Hidden from Spark's readers by the underscore.
+SCHEMA_NOTE = "_schema.json"
+
+
 def _located(spark: SparkSession, path: str):
     """The Hadoop path and the file system it lives on."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -18,10 +23,46 @@ def _located(spark: SparkSession, path: str):
     return target, target.getFileSystem(conf)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Ask the file system, not an exception, whether a dataset is there."""
+def dataset_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset has a data file or a partition.
+
+    An empty write leaves a directory that holds neither, and no schema.
+    """
+    target, files = _located(spark, path)
+    if not files.exists(target):
+        return False
+    if files.getFileStatus(target).isFile():
+        return True
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return any(not name.startswith(("_", ".")) for name in names)
+
+
+def read_note(spark: SparkSession, path: str):
+    """A JSON note kept beside a dataset under a hidden name, None when absent."""
     target, files = _located(spark, path)
-    return files.exists(target)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+            stream, "UTF-8"
+        )
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def write_note(spark: SparkSession, path: str, content) -> None:
+    target, files = _located(spark, path)
+    stream = files.create(target, True)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+
+
+def known_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The dataset's schema as its writer noted it, without opening a data file."""
+    noted = read_note(spark, f"{path}/{SCHEMA_NOTE}")
+    return None if noted is None else T.StructType.fromJson(noted)
 
 
 def laid_out_by(spark: SparkSession, path: str, column: str) -> bool:
@@ -64,10 +105,13 @@ def read_layer(
 ) -> DataFrame:
     """Partitioned dataset by path with the day column as ISO text.
 
-    Files written before a column existed lack it, so file schemas are merged
-    unless the caller names the ``schema``, which saves reading the footers.
+    Files written before a column existed lack it.  The schema is the given one, else
+    the one the writer noted; only for a dataset without a note are file schemas
+    merged, which reads every footer.
     """
     reader = spark.read.format(fmt)
+    if schema is None and fmt == "parquet":
+        schema = known_schema(spark, path)
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "parquet":
