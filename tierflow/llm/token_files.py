@@ -34,6 +34,8 @@ CHUNK_IDS = 1 << 20
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2])
 WIDTHS = 60 // COUNTS
 ESCAPE = 15
+_SELECTOR = np.full(61, ESCAPE, np.uint8)
+_SELECTOR[COUNTS] = np.arange(len(COUNTS))
 
 _CHUNKS = (
     "shard int, chunk int, first long, n_ids long, doc_ids array<bigint>, "
@@ -41,15 +43,32 @@ _CHUNKS = (
 )
 
 
-def _chain(step: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions at which words begin, following ``step`` in all blocks at once."""
-    found, at, end = [], starts.copy(), ends.copy()
-    while len(at):
-        found.append(at)
-        at = at + step[at]
-        going = at < end
-        at, end = at[going], end[going]
-    return np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs, exact below 2**53 and 60 from there on."""
+    if int(ids.max(initial=0)) < len(_SHORT_BITS):
+        return _SHORT_BITS[ids]
+    bits = np.frexp(ids.astype(np.float64))[1]
+    return np.where(ids >> np.uint64(53) != 0, 60, bits).astype(np.uint8)
+
+
+_SHORT_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
+def _steps(bits: np.ndarray) -> np.ndarray:
+    """How many ids the densest word that begins at each place holds.
+
+    ``widest`` is the greatest bit length of the next ids, for more and more of them.
+    """
+    step = np.ones(bits.shape, np.uint8)
+    widest, reach = bits, 1
+    for count, width in zip(COUNTS[::-1].tolist(), WIDTHS[::-1].tolist()):
+        while reach < count:
+            more = min(reach, count - reach)
+            ahead = np.zeros_like(widest)
+            ahead[:, :-more] = widest[:, more:]
+            widest, reach = np.maximum(widest, ahead), reach + more
+        np.copyto(step, count, where=widest <= width)
+    return step
 
 
 def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,33 +78,34 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.zeros(1, np.int64)
     if int(ids.max()) >= 1 << 60:
         raise ValueError("ids of more than 60 bits cannot be coded")
-    place = np.arange(n)
-    block_end = np.minimum((place // BLOCK + 1) * BLOCK, n)
-    selector = np.full(n, ESCAPE, np.int64)
-    step = np.ones(n, np.int64)
-    for k in range(len(COUNTS) - 1, -1, -1):  # the densest selector that fits wins
-        too_wide = ids >> np.uint64(WIDTHS[k]) != 0
-        blocked = np.where(too_wide, place, n)
-        clear = np.minimum.accumulate(blocked[::-1])[::-1] - place
-        # The last word of a block may be part empty: padding is zeros.
-        fits = clear >= np.minimum(COUNTS[k], block_end - place)
-        selector[fits] = k
-        step[fits] = np.minimum(COUNTS[k], block_end - place)[fits]
-    starts = np.arange(0, n, BLOCK)
-    begins = _chain(step, starts, block_end[starts])
-    chosen = selector[begins]
-    words = chosen.astype(np.uint64) << np.uint64(60)
-    for k in np.unique(chosen):
-        rows = np.flatnonzero(chosen == k)
-        at = begins[rows]
-        if k == ESCAPE:
-            words[rows] |= ids[at].astype(np.uint64)
-            continue
-        for j in range(COUNTS[k]):
-            inside = j < step[at]
-            value = np.where(inside, ids[np.minimum(at + j, n - 1)], 0)
-            words[rows] |= value.astype(np.uint64) << np.uint64(j * WIDTHS[k])
-    return words, np.searchsorted(begins, np.append(starts, n))
+    blocks, most = -(-n // BLOCK), int(COUNTS[0])
+    # Zeros behind every block let its last word reach past the end.
+    padded = np.zeros((blocks, BLOCK + most), np.uint64)
+    whole = n // BLOCK
+    padded[:whole, :BLOCK] = ids[: whole * BLOCK].reshape(whole, BLOCK)
+    padded[whole:, : n - whole * BLOCK] = ids[whole * BLOCK :]
+    step = _steps(_bit_lengths(padded)).ravel()
+    flat = padded.ravel()
+    at = np.arange(blocks) * padded.shape[1]
+    end = at + np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
+    found = []
+    while len(at):  # the next word of every block at once
+        found.append(at)
+        at = at + step[at]
+        at, end = at[at < end], end[at < end]
+    begins = np.sort(np.concatenate(found))
+    selector = _SELECTOR[step[begins]]
+    words = selector.astype(np.uint64) << np.uint64(60)
+    for k in np.unique(selector):
+        rows = np.flatnonzero(selector == k)
+        count, width = (1, 60) if k == ESCAPE else (int(COUNTS[k]), int(WIDTHS[k]))
+        first = begins[rows]
+        packed = words[rows]
+        for j in range(count):
+            packed |= flat[first + j] << np.uint64(j * width)
+        words[rows] = packed
+    per_block = np.bincount(begins // padded.shape[1], minlength=blocks)
+    return words, offsets_of(per_block)
 
 
 def decode_ids(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
