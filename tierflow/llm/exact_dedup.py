@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.shared import Workspace
+from tierflow.llm.shared import Workspace, by_shuffle
 
 BLOCK_BYTES = 1024
 END_BYTES = 64
@@ -36,7 +36,7 @@ def _named(ws: Workspace, rows: DataFrame, content: list[str]) -> DataFrame:
     """``rows`` with ``content`` replaced by an integer name, in the order of content."""
     distinct = rows.select(*content).distinct().orderBy(*content)
     names = ws.keep(distinct.withColumn("name", F.monotonically_increasing_id()))
-    named = ws.keep(rows.join(names, content).select("row", "at", "name"))
+    named = ws.keep(rows.join(by_shuffle(names), content).select("row", "at", "name"))
     ws.drop(names)
     return named
 
@@ -94,7 +94,7 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select(*ends, F.lit(True).alias("open"))
     )
-    placed = raw.withColumns(ends).join(shared, list(ends), "left")
+    placed = raw.withColumns(ends).join(by_shuffle(shared), list(ends), "left")
     body = normalised(F.col("text"))
     rows = ws.keep(
         placed.select(

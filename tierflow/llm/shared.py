@@ -49,6 +49,14 @@ class Workspace:
         self._paths = [x for x in self._paths if all(x[0] is not f for f in frames)]
 
 
+def by_shuffle(frame: DataFrame) -> DataFrame:
+    """Ask for a sort-merge join with ``frame``, a side that grows with the input.
+
+    The plan then is the same at every size, and a hot key can be split.
+    """
+    return frame.hint("merge")
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows that hold a bounded number of text bytes.
 
@@ -83,7 +91,7 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every node of ``edges(a, b)``, component the least id.
 
     Alternating star contractions: each round hangs all larger neighbours, then all
-    smaller ones, on a node's least neighbour, until nothing changes.  Rounds grow with
+    smaller ones, on a node's least neighbour, until neither moves any.  Rounds grow with
     the logarithm of the longest chain.  The least neighbours are written apart, so the
     join can split a node that links to a large part of all others.
     """
@@ -92,8 +100,8 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .distinct()
     )
-    seen = _fingerprint(current)
-    while True:
+    moved = True
+    while moved:
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             current.select("lo", "hi")
         )
@@ -103,36 +111,31 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
         large = ws.keep(
             both.join(least, "u")
             .filter("v > u and v <> m")
-            .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-            .distinct()
+            .select(
+                F.col("v").alias("hi"),
+                F.col("m").alias("lo"),
+                (F.col("m") != F.col("u")).alias("moved"),
+            )
         )
         lower = ws.keep(large.groupBy("hi").agg(F.min("lo").alias("m")))
         following = ws.keep(
             large.join(lower, "hi")
             .filter("lo <> m")
-            .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-            .union(lower.select("hi", F.col("m").alias("lo")))
-            .distinct()
+            .select(F.col("lo").alias("hi"), F.col("m").alias("lo"), F.lit(True))
+            .union(lower.select("hi", "m", F.lit(False)))
+            .toDF("hi", "lo", "moved")
+            .groupBy("hi", "lo")
+            .agg(F.max("moved").alias("moved"))
         )
-        now = _fingerprint(following)
+        moved = any(not x.filter("moved").isEmpty() for x in (large, following))
         ws.drop(current, least, large, lower)
         current = following
-        if now == seen:
-            break
-        seen = now
     roots = current.select("lo").distinct()
     return current.select(
         F.col("hi").alias("id"), F.col("lo").alias("component")
     ).union(roots.select("lo", "lo"))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo")), F.sum("lo")
-    ).first()
-    return tuple(row)
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words between ASCII white space after lower-casing A-Z only."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -161,20 +164,16 @@ def verified(
     texts: DataFrame,
     size: int,
     percent: int,
-    narrowed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The pairs ``(a, b)`` of ``texts(id, text)`` whose full shingle sets are similar.
 
-    Only texts that occur in a pair are shuffled again.  Rows arrive sorted by ``b``,
-    the side a large group has in common, so its set is built once per run.
+    ``texts`` should hold little else.  Rows arrive sorted by ``b``, the side a large
+    group has in common, so its set is built once per run.
     """
-    wanted = ws.keep(
-        pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    )
-    found = ws.keep(texts.join(wanted, "id", "left_semi").select("id", "text"))
-    left = found.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = found.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    joined = pairs.join(by_shuffle(left), "a").join(by_shuffle(right), "b")
+    joined = joined.select("a", "b", "text_a", "text_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_text, last_set = None, frozenset()
@@ -194,9 +193,7 @@ def verified(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
             )
 
-    links = ws.keep(joined.mapInArrow(check, "a long, b long").distinct())
-    ws.drop(wanted, found)
-    return links
+    return ws.keep(joined.mapInArrow(check, "a long, b long").distinct())
 
 
 def per_document(
@@ -237,7 +234,7 @@ def annotated(
     """
     names = [field.split()[0] for field in schema.split(", ")]
     kept = documents.drop(*names)
-    added = documents.sparkSession.createDataFrame([], schema).schema
+    added = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
