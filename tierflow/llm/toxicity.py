@@ -4,8 +4,8 @@ Features are the words of a text, pairs of adjacent words and pairs with one wor
 out, each hashed to a coordinate and counted once.  FTRL-proximal keeps a learning rate
 per coordinate, and its L1 term leaves most weights at exactly zero.
 
-Labelled rows are dealt to shards by hash; every shard learns in one streaming pass in a
-fixed order, and the shards' weights are averaged.  So the weights repeat, memory is
+Labelled rows are dealt to shards by hash; every shard learns from a stream of its rows
+in a fixed order, ``EPOCHS`` times over, and the shards' weights are averaged.  So the weights repeat, memory is
 bounded by the number of coordinates, and what is broadcast is at most that many floats.
 
 Defined results: a null or empty text has no feature but the bias; a labelled id that
@@ -28,7 +28,9 @@ from tierflow.llm.shared import annotated, per_document, text_slices
 from tierflow.llm.words import ALPHANUMERIC, MIX, mapped, scrambled, split_words, word_hashes
 
 COORDINATES = 1 << 20
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.5, 0.1
+#: A weight moves from zero only once several rows have pushed it the same way.
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
+EPOCHS = 3
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,8 +132,9 @@ def learn(
         .join(F.broadcast(usable), "doc_id")
         .withColumn("order", order)
         .withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)))
+        .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
         .repartition(shards, "shard")
-        .sortWithinPartitions("shard", "order", "doc_id", "text", "toxic")
+        .sortWithinPartitions("shard", "epoch", "order", "doc_id", "text", "toxic")
         .select("text", "toxic", "shard")
     )
     summed = (
