@@ -91,7 +91,7 @@ def test_languages_on_held_out_rows(spark):
         (i, spoken(rng, kinds[lang], rng.randint(6, 60)), lang)
         for i, lang in enumerate(rng.choices(list(kinds), k=500))
     ]
-    extra = [(900, None, "aa"), (901, "12 !?", "bb"), (902, "", None), (None, "theing and", "cc")]
+    extra = [(900, None, "aa"), (901, "12 !? 😀", "bb"), (902, "", None), (None, "theing and", "cc")]
     docs = spark.createDataFrame([*rows, *extra], "doc_id long, text string, lang string")
     found = language_id.identify(docs).collect()
     assert len(found) == 504

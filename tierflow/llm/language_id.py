@@ -55,8 +55,13 @@ def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     lengths = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
     offsets = offsets_of(lengths)
     low = _letters()[np.minimum(codes, 0xFFFF)]
-    # Beyond the basic plane nearly all code points with text in them are letters.
-    low = np.where(codes > 0xFFFF, codes, low)
+    beyond = codes > 0xFFFF
+    if beyond.any():  # few distinct ones, so they are looked at one by one
+        distinct, at = np.unique(codes[beyond], return_inverse=True)
+        lowered = [chr(c).lower() for c in distinct.tolist()]
+        low[beyond] = np.array(
+            [ord(c) if c.isalpha() else 32 for c in lowered], np.uint32
+        )[at]
     low[offsets[1:] - 1] = 0
     letters = np.add.reduceat((low > 32).astype(np.int64), offsets[:-1])
     return low, offsets, letters
