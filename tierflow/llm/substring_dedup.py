@@ -2,8 +2,8 @@
 
 Paragraphs are lines of at least ``min_words`` words.  Equal ones collapse first; the
 distinct ones get a MinHash signature over word shingles, meet in shared bands, are
-verified on their full shingle sets and form components.  Of a component the paragraph
-of the least document stays, the others are removals.
+verified on their full shingle sets and form components.  Of a component the least
+document keeps its paragraphs, those of other documents are removals.
 
 A passage may also lie inside longer paragraphs that have little else in common.  So a
 paragraph is cut at places its words choose: where the hash of three words is least for
@@ -13,9 +13,8 @@ no inner change at all, so equality decides; a run of repeated pieces is a remov
 it holds ``min_words`` words.
 
 Defined results: words are what lies between ASCII white space after lower-casing A-Z;
-null and empty texts have no paragraph; rows that repeat an id are one document whose
-paragraphs are told apart by place and words, so an equal row removes nothing; a null id
-neither removes nor is removed; other columns are ignored; an empty table gives no row.
+null and empty texts have no paragraph; what a document repeats of itself stays, and rows
+that repeat an id are one document; a null id neither removes nor is removed; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.near_dedup import PERCENT, SHINGLE, linked_components, signed
-from tierflow.llm.shared import Workspace, text_slices
+from tierflow.llm.shared import Workspace, by_shuffle, text_slices
 from tierflow.llm.words import (
     SPACED,
     mapped,
@@ -169,7 +168,6 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFrame:
     found = ws.keep(paragraphs(documents, min_words))
-    place = F.struct("doc_id", "line")
     # Equal paragraphs of a group shrink to their first one before the shuffle.
     distinct = ws.keep(
         found.groupBy("digest")
@@ -185,8 +183,8 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
     lines = _texts(documents).select(
         "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")
     )
-    texts = lines.join(at, ["doc_id", "line"]).select("id", "text")
-    classes = linked_components(ws, marks, texts, ROWS * BANDS, SHINGLE, PERCENT)
+    texts = lines.join(by_shuffle(at), ["doc_id", "line"]).select("id", "text")
+    classes = linked_components(ws, marks, texts, ROWS, BANDS, SHINGLE, PERCENT)
     named = distinct.join(ws.keep(classes), "id", "left").select(
         "digest", "n", "first", F.coalesce("component", "id").alias("cluster")
     )
@@ -204,8 +202,8 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
     )
     return (
         found.select("doc_id", "line", "words", "digest")
-        .join(repeated, "digest")
-        .filter(place != F.col("keep"))
+        .join(by_shuffle(repeated), "digest")
+        .filter(F.col("doc_id") != F.col("keep.doc_id"))
         .select(
             "doc_id",
             "line",
@@ -230,8 +228,8 @@ def _piece_runs(ws: Workspace, documents: DataFrame, min_words: int) -> DataFram
         .drop("n")
     )
     repeats = (
-        found.join(firsts, ["k1", "k2"])
-        .filter(F.struct("doc_id", "line", "word") != F.col("keep"))
+        found.join(by_shuffle(firsts), ["k1", "k2"])
+        .filter(F.col("doc_id") != F.col("keep.doc_id"))
         .select("doc_id", "line", "word", "words", "keep")
         .distinct()
     )
