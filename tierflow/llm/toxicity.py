@@ -133,7 +133,7 @@ def learn(
         .withColumn("order", order)
         .withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)))
         .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "epoch", "order", "doc_id", "text", "toxic")
         .select("text", "toxic", "shard")
     )
