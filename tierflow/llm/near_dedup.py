@@ -10,8 +10,8 @@ components of the verified links.
 A band that many texts share is worked off in two steps, neither of which emits all its
 pairs.  First every text is compared with the band's least id only, which joins a group
 of copies in as many comparisons as it has members.  Then, in bands whose members still
-lie in different components, all pairs across components are compared inside tasks, in
-blocks of bounded size, and only survivors leave.  No link between components is lost.
+lie in different components, all pairs across components are compared and verified
+inside tasks, in blocks of bounded size, and only links leave.  None is lost.
 
 Defined results: words are what lies between ASCII white space after lower-casing A-Z;
 a text with fewer words than a shingle is one shingle; a null text or one without words
@@ -23,6 +23,7 @@ columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import comb
 
 import numpy as np
@@ -30,7 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.shared import Workspace, components, per_document, verified
+from tierflow.llm.shared import (
+    Workspace,
+    annotated,
+    by_shuffle,
+    components,
+    offsets_of,
+    per_document,
+    ragged_take,
+    verified,
+)
 from tierflow.llm.words import (
     SPACED,
     mapped,
@@ -45,8 +55,8 @@ SHINGLE, PERCENT = 5, 75
 ROWS, BANDS = 4, 32
 #: Chance to prune a pair that reaches the threshold, and matches per batch.
 MISS, BATCH = 1e-7, 32
-#: Members of a band compared inside one task.
-BLOCK_MEMBERS = 256
+#: Texts of a block and the shingles they have together; a task compares two blocks.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 500_000
 _SPAN = 1 << 15
 
 
@@ -99,26 +109,35 @@ def distinct_counts(hashed: np.ndarray, begins: np.ndarray) -> np.ndarray:
     )
 
 
-def signed(texts: pa.Array, shingle: int, rows: int, bands: int):
-    """Shingle counts, band keys and 16-bit signatures; both empty without words."""
+def hashed_shingles(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of every text, and where each text's begin."""
     codes, words, offsets = split_words(mapped(texts, SPACED))
     hashes = word_hashes(words) if len(words) else np.zeros(0, np.uint64)
-    hashed, begins = shingle_hashes(hashes[codes], offsets, shingle)
+    return shingle_hashes(hashes[codes], offsets, shingle)
+
+
+def marked(hashed: np.ndarray, begins: np.ndarray, rows: int, bands: int):
+    """Shingle counts, band keys and 16-bit signatures; both empty without words."""
     counts = distinct_counts(hashed, begins)
     full = np.flatnonzero(counts)
     some = np.append(begins[:-1][full], begins[-1])
     signature = signatures(hashed, some, rows * bands)
     keys = band_keys(signature, rows, bands)
-    has = (counts > 0).astype(np.int64)
-    key_ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-    listed = pa.ListArray.from_arrays(pa.array(key_ends), pa.array(keys.ravel()))
-    short = signature.astype("<u2")
+    key_ends = offsets_of((counts > 0) * bands)
+    listed = pa.ListArray.from_arrays(
+        pa.array(key_ends, pa.int32()), pa.array(keys.ravel())
+    )
     blobs: list[bytes] = [b""] * len(counts)
-    for k, row in zip(full.tolist(), short):
+    for k, row in zip(full.tolist(), signature.astype("<u2")):
         blobs[k] = row.tobytes()
     return counts, listed, pa.array(blobs, pa.binary())
 
 
+def signed(texts: pa.Array, shingle: int, rows: int, bands: int):
+    """``marked`` of texts."""
+    return marked(*hashed_shingles(texts, shingle), rows, bands)
+
+
 def least_matches(hashes: int, batch: int, percent: int, miss: float) -> list[int]:
     """Fewest matches, after each batch, at which a pair goes on.
 
@@ -161,7 +180,8 @@ def linked_components(
     ws: Workspace,
     marks: DataFrame,
     texts: DataFrame,
-    hashes: int,
+    rows: int = ROWS,
+    bands: int = BANDS,
     shingle: int = SHINGLE,
     percent: int = PERCENT,
     miss: float = MISS,
@@ -170,8 +190,7 @@ def linked_components(
 
     ``marks(id, bands, signature)`` and ``texts(id, text)`` describe the same texts.
     """
-    batch = min(BATCH, hashes)
-    least = least_matches(hashes, batch, percent, miss)
+    tuning = Tuning(rows, bands, shingle, percent, miss)
     banded = marks.select("id", F.explode("bands").alias("band"))
     shared = ws.keep(
         banded.groupBy("band")
@@ -183,50 +202,66 @@ def linked_components(
         .filter("first < last")
         .drop("last")
     )
-    held = ws.keep(banded.join(shared, "band"))
-    stars = held.filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    links = ws.keep(
-        verified(
-            ws,
-            _pruned(ws, stars.distinct(), marks, least, batch),
-            texts,
-            shingle,
-            percent,
-        )
+    held = ws.keep(banded.join(by_shuffle(shared), "band"))
+    stars = held.filter("id <> first").select(
+        F.col("id").alias("a"), F.col("first").alias("b")
     )
-    classes = ws.keep(components(ws, links))
-
-    # Bands that still hold several components, other than pairs already compared.
-    labelled = held.filter("members > 2").join(classes, "id", "left").select(
-        "band", "id", "first", F.coalesce("component", "id").alias("component")
+    # Texts without a shared band are left behind here.
+    wanted = held.select("id").distinct()
+    texts = texts.join(by_shuffle(wanted), "id", "left_semi").select("id", "text")
+    texts = ws.keep(texts)
+    candidates = _pruned(ws, stars.distinct(), marks, tuning)
+    links = verified(ws, candidates, texts, shingle, percent)
+    # A text's least linked id stands for its component: equal ones mean the same.
+    nearest = links.groupBy("a").agg(F.min("b").alias("component"))
+    nearest = ws.keep(nearest.withColumnRenamed("a", "id"))
+
+    # Bands that still hold several of them, other than pairs already compared.
+    labelled = ws.keep(
+        held.filter("members > 2")
+        .join(nearest, "id", "left")
+        .select("band", "id", "first", F.coalesce("component", "id").alias("component"))
     )
-    open_ = (
+    mixed = ws.keep(
         labelled.groupBy("band")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high")
+        .select("band")
     )
-    labelled = ws.keep(labelled)
-    open_ = ws.keep(
-        open_.select(
-            "band", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int").alias("blocks")
-        )
-    )
-    more = _across(ws, labelled.join(open_, "band"), marks, least, batch)
-    late = verified(ws, ws.keep(more), texts, shingle, percent)
+    late = _across(ws, labelled.join(mixed, "band"), texts, tuning)
     return components(ws, links.unionByName(late))
 
 
+@dataclass(frozen=True)
+class Tuning:
+    """How texts are banded and compared."""
+
+    rows: int
+    bands: int
+    shingle: int
+    percent: int
+    miss: float
+
+    @property
+    def batch(self) -> int:
+        return min(BATCH, self.rows * self.bands)
+
+    @property
+    def least(self) -> list[int]:
+        return least_matches(
+            self.rows * self.bands, self.batch, self.percent, self.miss
+        )
+
+
 def _pruned(
-    ws: Workspace, pairs: DataFrame, marks: DataFrame, least: list[int], batch: int
+    ws: Workspace, pairs: DataFrame, marks: DataFrame, tuning: Tuning
 ) -> DataFrame:
     """Pairs that the sequential comparison of their signatures lets through."""
     left = marks.select(F.col("id").alias("a"), F.col("signature").alias("left"))
     right = marks.select(F.col("id").alias("b"), F.col("signature").alias("right"))
-    joined = ws.keep(pairs).join(left, "a").join(right, "b")
+    joined = ws.keep(pairs).join(by_shuffle(left), "a").join(by_shuffle(right), "b")
+
+    least, batch = tuning.least, tuning.batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -244,59 +279,124 @@ def _pruned(
 
 
 def _across(
-    ws: Workspace, members: DataFrame, marks: DataFrame, least: list[int], batch: int
+    ws: Workspace, members: DataFrame, texts: DataFrame, tuning: Tuning
 ) -> DataFrame:
-    """Surviving pairs of different components, compared block by block in tasks.
+    """Links between texts of different components that share a band.
 
-    A band with n members has ``n / BLOCK_MEMBERS`` blocks; each unordered pair of
-    blocks is a group of bounded size, so a large band spreads over many tasks.
+    Every text has one home among its bands' least ids, and a home falls into blocks of
+    bounded size.  Two blocks that meet in some band are compared once, in one task,
+    where the pairs that share a band go through the sequential comparison and then
+    through the exact one; only links that join two components leave the task.
     """
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = (
-        members.withColumn("block", block)
-        .select("band", "id", "first", "component", "block", F.explode(others).alias("other"))
-        .select(
-            "band",
-            "id",
-            "first",
-            "component",
-            "block",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
+    homes = ws.keep(
+        members.groupBy("id").agg(
+            F.min("first").alias("home"), F.min("component").alias("component")
         )
     )
-    signed_ = placed.join(marks.select("id", "signature"), "id")
 
-    def compare(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        component = table.column("component").to_numpy()
-        block_of = table.column("block").to_numpy()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        first = table.column("first")[0].as_py()
-        rows = _signature_rows(table.column("signature").combine_chunks())
-        left = np.flatnonzero(block_of == low)
-        right = np.flatnonzero(block_of == high)
-        a, b = [], []
-        for i in left:
-            j = right[component[right] != component[i]]
-            j = j[(ids[j] != first) & (ids[i] != first)]
-            if low == high:
-                j = j[ids[j] > ids[i]]
-            if len(j):
-                alive = surviving(
-                    np.broadcast_to(rows[i], (len(j), rows.shape[1])),
-                    rows[j],
-                    least,
-                    batch,
+    def work(ids: pa.Array, given: pa.Array) -> list[pa.Array]:
+        hashed, begins = hashed_shingles(given, tuning.shingle)
+        sets = [np.unique(hashed[x:y]) for x, y in zip(begins, begins[1:])]
+        ends = np.concatenate([[0], np.cumsum([len(one) for one in sets])])
+        flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+        _, keys, signature = marked(hashed, begins, tuning.rows, tuning.bands)
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        return [keys, signature, listed]
+
+    sets = annotated(
+        texts.join(by_shuffle(homes), "id"),
+        work,
+        "bands array<bigint>, signature binary, shingles array<bigint>",
+        id_column="id",
+    )
+    sets = ws.keep(sets.drop("text"))
+    sizes = ws.keep(
+        sets.groupBy("home").agg(
+            F.ceil(
+                F.greatest(
+                    F.count(F.lit(1)) / BLOCK_MEMBERS,
+                    F.sum(F.size("shingles")) / BLOCK_SHINGLES,
                 )
-                a.extend([ids[i]] * len(alive))
-                b.extend(ids[j[alive]])
-        x, y = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+            ).alias("blocks")
+        )
+    )
+    part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = sets.join(sizes, "home").withColumn(
+        "block", F.struct("home", part.alias("part"))
+    )
+    present = ws.keep(
+        members.select("band", "id")
+        .join(ws.keep(placed.select("id", "block")), "id")
+        .select("band", "block")
+        .distinct()
+    )
+    meeting = present.select("band", F.col("block").alias("low")).join(
+        present.select("band", F.col("block").alias("high")), "band"
+    )
+    tasks = ws.keep(meeting.filter("low <= high").select("low", "high").distinct())
+    sides = tasks.select(F.col("low").alias("block"), "low", "high").union(
+        tasks.filter("low <> high").select(F.col("high").alias("block"), "low", "high")
+    )
+    arrived = placed.join(sides, "block")
+    least, batch, percent = tuning.least, tuning.batch, tuning.percent
 
-    pairs = signed_.groupBy("band", "low", "high").applyInArrow(compare, "a long, b long")
-    return pairs.distinct()
+    def compare(table: pa.Table) -> pa.Table:
+        return compared_blocks(table, least, batch, percent)
+
+    found = arrived.select(
+        "low",
+        "high",
+        (F.col("block") == F.col("low")).alias("in_low"),
+        (F.col("block") == F.col("high")).alias("in_high"),
+        "id",
+        "component",
+        "bands",
+        "signature",
+        "shingles",
+    )
+    links = found.groupBy("low", "high").applyInArrow(compare, "a long, b long")
+    return ws.keep(links.distinct())
+
+
+def compared_blocks(
+    table: pa.Table, least: list[int], batch: int, percent: int
+) -> pa.Table:
+    """Verified links between two blocks, no more than it takes to join components."""
+    ids = table.column("id").to_numpy()
+    component = table.column("component").to_numpy().copy()
+    bands = table.column("bands").combine_chunks().flatten().to_numpy()
+    bands = bands.reshape(len(ids), -1)
+    rows = _signature_rows(table.column("signature").combine_chunks())
+    listed = table.column("shingles").combine_chunks()
+    offsets = (listed.offsets.to_numpy() - listed.offsets[0].as_py()).astype(np.int64)
+    values, coded = np.unique(listed.flatten().to_numpy(), return_inverse=True)
+    sizes = np.diff(offsets)
+    present = np.zeros(len(values), bool)
+    left = np.flatnonzero(table.column("in_low").to_numpy(zero_copy_only=False))
+    right = np.flatnonzero(table.column("in_high").to_numpy(zero_copy_only=False))
+    same_block = len(left) == len(right) and (left == right).all()
+    a, b = [], []
+    for i in left.tolist():
+        j = right[right > i] if same_block else right
+        j = j[component[j] != component[i]]
+        j = j[(bands[j] == bands[i]).any(axis=1)]
+        if not len(j):
+            continue
+        own = np.broadcast_to(rows[i], (len(j), rows.shape[1]))
+        j = j[surviving(own, rows[j], least, batch)]
+        if not len(j):
+            continue
+        mine = coded[offsets[i] : offsets[i + 1]]
+        present[mine] = True
+        flat, lengths = ragged_take(coded, offsets, j)
+        shared = np.add.reduceat(present[flat].astype(np.int64), offsets_of(lengths)[:-1])
+        present[mine] = False
+        for k in j[100 * shared >= percent * (sizes[i] + sizes[j] - shared)].tolist():
+            if component[k] != component[i]:
+                a.append(ids[i])
+                b.append(ids[k])
+                component[component == component[k]] = component[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_dedup(
@@ -328,7 +428,7 @@ def near_dedup(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
     )
     classes = ws.keep(
-        linked_components(ws, nodes, texts, rows * bands, shingle, percent, miss)
+        linked_components(ws, nodes, texts, rows, bands, shingle, percent, miss)
     )
     return (
         marks.select(F.col("doc_id").alias("id"), "n_shingles")
@@ -349,4 +449,4 @@ def representatives(documents: DataFrame, **tuning) -> DataFrame:
     gone = near_dedup(documents, **tuning).filter(~F.col("kept")).select("doc_id")
     own = documents["doc_id"].cast("long")
     gone = gone.distinct().withColumnRenamed("doc_id", "__gone")
-    return documents.join(gone, own == F.col("__gone"), "left_anti")
+    return documents.join(by_shuffle(gone), own == F.col("__gone"), "left_anti")
