@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.shared import Workspace
+from tierflow.llm.shared import Workspace, by_shuffle
 
 #: A line is rare up to so many holders, and long from so many characters.
 RARE_HOLDERS, LONG_CHARS = 8, 120
@@ -183,7 +183,7 @@ def line_deletions(
         (F.col("doc_id") == F.col("first_id")) & (F.col("digest") > F.col("first_digest"))
     )
     pairs = ws.keep(
-        held.join(holders, "key")
+        held.join(by_shuffle(holders), "key")
         .filter(later)
         .groupBy("doc_id", "digest", "first_id", "first_digest")
         .agg(F.collect_set("key").alias("linking"))
@@ -195,8 +195,8 @@ def line_deletions(
         F.col("digest").alias("first_digest"),
         F.col("later").alias("earlier"),
     )
-    aligned_ = pairs.join(own, ["doc_id", "digest"]).join(
-        first, ["first_id", "first_digest"]
+    aligned_ = pairs.join(by_shuffle(own), ["doc_id", "digest"]).join(
+        by_shuffle(first), ["first_id", "first_digest"]
     )
     found = aligned_.select(
         "doc_id", "digest", "linking", "later", "earlier"
@@ -225,7 +225,7 @@ def line_dedup(
     gone = gone.withColumnRenamed("gone", "__gone")
     text = documents["text"].cast("string")
     joined = documents.join(
-        gone,
+        by_shuffle(gone),
         (documents["doc_id"].cast("long") == gone["__doc_id"])
         & (_digest(text) == gone["__digest"]),
         "left",
