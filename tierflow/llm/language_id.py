@@ -32,6 +32,8 @@ from tierflow.llm.words import scrambled
 
 SIZES = (2, 3, 4)
 PROBES = 3
+#: An n-gram of every size and place takes some 50 bytes while a slice is worked on.
+SLICE_BYTES = 2 << 20
 #: Bits of a language's filter per n-gram it may hold.
 BITS_PER_GRAM = 32
 
@@ -97,7 +99,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, most=SLICE_BYTES):
                 langs = np.array(piece.column("lang").to_pylist(), object)
                 low, offsets, _ = characters(piece.column("text").to_pylist())
                 hashes, owners = grams(low, offsets)
@@ -229,7 +231,10 @@ def predict(documents: DataFrame, filters: Filters) -> DataFrame:
         ]
 
     found = per_document(
-        documents, work, "doc_id long, lang_pred string, score double"
+        documents,
+        work,
+        "doc_id long, lang_pred string, score double",
+        slice_bytes=SLICE_BYTES,
     )
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 

@@ -57,13 +57,15 @@ def by_shuffle(frame: DataFrame) -> DataFrame:
     return frame.hint("merge")
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(
+    batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows that hold a bounded number of text bytes.
 
     A single text may be longer than the bound; it then is a slice of its own.
     """
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
-    part = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // SLICE_BYTES
+    part = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // most
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for first, last in zip(cuts, cuts[1:]):
         if last > first:
@@ -202,6 +204,7 @@ def per_document(
     schema: str,
     id_column: str = "doc_id",
     text_column: str = "text",
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``work(ids, texts)`` over slices of all documents; it returns a column each.
 
@@ -210,7 +213,7 @@ def per_document(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, most=slice_bytes):
                 made = work(piece.column("doc_id"), piece.column("text"))
                 yield pa.RecordBatch.from_arrays(made, names=names)
 
