@@ -190,6 +190,18 @@ def test_line_dedup_deletes_from_the_later_document(documents):
     assert line_dedup.line_dedup(documents([])).count() == 0
 
 
+def test_a_frequent_short_line_or_block_goes_from_all_but_its_first_holder(documents):
+    rng = random.Random(5)
+    own = [" ".join(prose(rng, 12)) for _ in range(60)]
+    block = ["All rights reserved.", "", "See below."]
+    rows = [(i, "\n".join([own[i], *block, own[i + 30]])) for i in range(30)]
+    rows += [(100 + i, f"{own[i][:20]}{i}\nCommon.\n{i} {own[i][:9]}") for i in range(12)]
+    texts = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(rows)).collect()}
+    assert texts[0] == rows[0][1] and texts[100] == rows[30][1]
+    assert all(texts[i] == f"{own[i]}\n{own[i + 30]}" for i in range(1, 30))
+    assert all("Common." not in texts[100 + i] for i in range(1, 12))
+
+
 # -- substrings --------------------------------------------------------------
 
 

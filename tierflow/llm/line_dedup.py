@@ -1,9 +1,8 @@
 """Line deduplication by pairwise alignment (operator 4).
 
-Documents overlap where they share a line that hardly recurs by chance: a rare one, held
-by few documents, or a long one, however many hold it, or the whole text.  Each such
-line links its later holders to its first one only, so a line in very many documents
-gives as many pairs as holders and not their square.  A pair is aligned by patience
+Documents overlap where they share a line, or the whole text, however many hold it and
+however long it is.  Each such line links its later holders to its first one only, so a
+line in very many documents gives as many pairs as holders and not their square.  A pair is aligned by patience
 diff: common ends match, lines that occur once on both sides anchor the rest in their
 longest common order, and between anchors the same is done again.  Blocks of aligned
 lines that hold a linking line are deleted from the later document.
@@ -29,8 +28,6 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.shared import Workspace, by_shuffle
 
-#: A line is rare up to so many holders, and long from so many characters.
-RARE_HOLDERS, LONG_CHARS = 8, 120
 _BLANK = b""
 
 
@@ -123,12 +120,7 @@ def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def line_deletions(
-    ws: Workspace,
-    documents: DataFrame,
-    rare_holders: int = RARE_HOLDERS,
-    long_chars: int = LONG_CHARS,
-) -> DataFrame:
+def line_deletions(ws: Workspace, documents: DataFrame) -> DataFrame:
     """``(doc_id, digest, gone)``: positions of the lines to delete, by text digest."""
     text = F.col("text").cast("string")
     stripped = F.transform(
@@ -148,19 +140,12 @@ def line_deletions(
                 "lines",
                 lambda line: F.when(line == "", F.lit(_BLANK)).otherwise(_digest(line)),
             ).alias("keys"),
-            F.transform("lines", lambda line: F.length(line) >= long_chars).alias(
-                "long"
-            ),
         )
     )
-    per_line = profiles.select(
-        "doc_id", "digest", F.explode(F.arrays_zip("keys", "long")).alias("line")
-    ).select(
-        "doc_id", "digest", F.col("line.keys").alias("key"), F.col("line.long").alias("long")
-    )
     held = (
-        per_line.filter(F.col("key") != F.lit(_BLANK))
-        .union(profiles.select("doc_id", "digest", "digest", F.lit(True)))
+        profiles.select("doc_id", "digest", F.explode("keys").alias("key"))
+        .filter(F.col("key") != F.lit(_BLANK))
+        .union(profiles.select("doc_id", "digest", "digest"))
         .distinct()
     )
     held = ws.keep(held)
@@ -169,10 +154,9 @@ def line_deletions(
         held.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.max("long").alias("long"),
             F.min(F.struct("doc_id", "digest")).alias("first"),
         )
-        .filter((F.col("n") > 1) & (F.col("long") | (F.col("n") <= rare_holders)))
+        .filter("n > 1")
         .select(
             "key",
             F.col("first.doc_id").alias("first_id"),
@@ -209,17 +193,13 @@ def line_deletions(
     )
 
 
-def line_dedup(
-    documents: DataFrame,
-    rare_holders: int = RARE_HOLDERS,
-    long_chars: int = LONG_CHARS,
-) -> DataFrame:
+def line_dedup(documents: DataFrame) -> DataFrame:
     """Every row with ``text`` edited, and ``n_lines`` and ``n_deleted`` added.
 
     All columns of ``documents`` are kept.
     """
     ws = Workspace(documents.sparkSession, "line-dedup")
-    gone = line_deletions(ws, documents, rare_holders, long_chars).select(
+    gone = line_deletions(ws, documents).select(
         F.col("doc_id").alias("__doc_id"), F.col("digest").alias("__digest"), "gone"
     )
     gone = gone.withColumnRenamed("gone", "__gone")
