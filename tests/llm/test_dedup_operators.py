@@ -239,3 +239,16 @@ def test_many_copies_of_one_paragraph(documents):
     assert sorted(r.doc_id for r in found) == [*range(1, 40), 90]
     assert {r.keep_doc_id for r in found} == {0}
     assert substring_dedup.removals(documents([])).count() == 0
+
+
+def test_near_copies_of_short_lines_are_paragraphs(documents):
+    rng = random.Random(9)
+    words = prose(rng, 24)
+    near = list(words)
+    near[2] = "changed"
+    texts = ["\n".join(" ".join(x[i : i + 8]) for i in (0, 8, 16)) for x in (words, near)]
+    rows = [(i, f"{x}\nlast") for i, x in enumerate(texts)]
+    found = substring_dedup.removals(documents(rows)).collect()
+    assert sorted((r.doc_id, r.line, r.words) for r in found) == [
+        (1, 0, 8), (1, 1, 8), (1, 2, 8), (1, 3, 1)
+    ]

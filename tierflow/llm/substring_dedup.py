@@ -1,16 +1,18 @@
 """Substring deduplication by MinHash banding of paragraphs (operator 1).
 
-Paragraphs are lines of at least ``min_words`` words.  Equal ones collapse first; the
-distinct ones get a MinHash signature over word shingles, meet in shared bands, are
-verified on their full shingle sets and form components.  Of a component the least
-document keeps its paragraphs, those of other documents are removals.
-
-A passage may also lie inside longer paragraphs that have little else in common.  So a
-paragraph is cut at places its words choose: where the hash of three words is least for
-``CUT_RADIUS`` words around.  A repeated passage is cut alike wherever it stands, and its
-inner pieces are equal.  Pieces of so few shingles reach the similarity of 0.75 only with
-no inner change at all, so equality decides; a run of repeated pieces is a removal once
-it holds ``min_words`` words.
+Paragraphs are lines of at least ``min_words`` words, and neighbouring shorter lines
+joined until they hold as many.  Equal ones collapse first; the distinct ones get a
+MinHash signature over word shingles, meet in shared bands, are verified on their full
+shingle sets and form components.  Of a component the least document keeps its
+paragraphs, those of other documents are removals.
+
+A passage may also lie inside paragraphs that have little else in common, or run over
+line breaks.  So every run of ``min_words`` words of a document's whole word stream that
+an earlier document has is a removal, found in two steps.  Of the ``SEED``-word runs
+inside each such run the one of least hash is a seed; equal runs have equal seeds.  Then
+only the runs whose seed occurs in several documents are compared, by a 64-bit hash of
+all their words.  Runs that touch are one span; a span is reported line by line, so a
+row may hold fewer words than ``min_words`` where its span goes on in the next line.
 
 Defined results: words are what lies between ASCII white space after lower-casing A-Z;
 null and empty texts have no paragraph; what a document repeats of itself stays, and rows
@@ -38,30 +40,12 @@ from tierflow.llm.words import (
 )
 
 MIN_WORDS = 25
-CUT_RADIUS = 8
+#: Words of a seed.
+SEED = 10
 #: 3 rows in 12 bands miss a pair of similarity 0.75 once in 700, of 0.85 never.
 ROWS, BANDS = 3, 12
 
 
-def cut_points(hashed: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Word positions at which pieces begin: every text's first word and each word
-    whose three-word hash is the least within the radius and lies inside the text."""
-    starts = offsets[:-1][np.diff(offsets) > 0]
-    value, begins = shingle_hashes(hashed, offsets, 3)
-    counts = np.diff(begins)
-    # The value of a place that has no three words left is the greatest.
-    spread = np.full(len(hashed), np.iinfo(np.uint64).max)
-    place = np.repeat(offsets[:-1] - begins[:-1], counts) + np.arange(len(value))
-    spread[place] = value
-    least = spread.copy()
-    for k in range(1, CUT_RADIUS + 1):
-        if k < len(spread):
-            least[k:] = np.minimum(least[k:], spread[:-k])
-            least[:-k] = np.minimum(least[:-k], spread[k:])
-    inner = np.flatnonzero((spread == least) & (spread < np.iinfo(np.uint64).max))
-    return np.union1d(starts, inner)
-
-
 def _line_rows(piece: pa.RecordBatch):
     """Lines of a slice with the row, number and text of each."""
     texts = piece.column("text").to_pylist()
@@ -74,89 +58,191 @@ def _line_rows(piece: pa.RecordBatch):
     return np.array(rows, np.int64), np.array(numbers, np.int64), lines
 
 
+def _units(piece: pa.RecordBatch, min_words: int) -> Iterator[tuple[int, int, list, str]]:
+    """Paragraphs of a slice: row, first line, words of each of its lines, words."""
+    rows, numbers, lines = _line_rows(piece)
+    words = [x.split() for x in mapped(pa.array(lines, pa.string()), SPACED).to_pylist()]
+    rows = rows.tolist()
+    groups: list[list[int]] = []
+    some: list[int] = []  # neighbouring short lines with too few words as yet
+    joined = False  # whether the last group is of short lines right before them
+
+    def rest() -> None:
+        if joined:
+            groups[-1].extend(some)
+
+    held = 0
+    for k, own in enumerate(words):
+        if k and rows[k] != rows[k - 1]:
+            rest()
+            some, held, joined = [], 0, False
+        if len(own) >= min_words:
+            rest()
+            groups.append([k])
+            some, held, joined = [], 0, False
+            continue
+        some.append(k)
+        held += len(own)
+        if held >= min_words:
+            groups.append(some)
+            some, held, joined = [], 0, True
+    rest()
+    for group in groups:
+        first = group[0]
+        flat = " ".join(w for k in group for w in words[k])
+        yield rows[first], int(numbers[first]), [len(words[k]) for k in group], flat
+
+
 def paragraphs(documents: DataFrame, min_words: int) -> DataFrame:
-    """Lines of enough words: place, digest of the words, bands and signature."""
+    """Paragraphs: place, words by line, digest of the words, bands and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch):
-                rows, numbers, lines = _line_rows(piece)
-                flat = mapped(pa.array(lines, pa.string()), SPACED)
-                words = [len(line.split()) for line in flat.to_pylist()]
-                long = np.flatnonzero(np.array(words, np.int64) >= min_words)
-                chosen = flat.take(pa.array(long))
-                _, keys, signature = signed(chosen, SHINGLE, ROWS, BANDS)
-                digests = [
-                    xxhash.xxh3_128_digest(" ".join(line.split()).encode())
-                    for line in chosen.to_pylist()
-                ]
+                units = list(_units(piece, min_words))
+                texts = [u[3] for u in units]
+                _, keys, signature = signed(
+                    pa.array(texts, pa.string()), SHINGLE, ROWS, BANDS
+                )
+                digests = [xxhash.xxh3_128_digest(x.encode()) for x in texts]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("doc_id").take(pa.array(rows[long])),
-                        pa.array(numbers[long], pa.int32()),
-                        pa.array(np.array(words, np.int64)[long], pa.int32()),
+                        piece.column("doc_id").take(pa.array([u[0] for u in units], pa.int64())),
+                        pa.array([u[1] for u in units], pa.int32()),
+                        pa.array([u[2] for u in units], pa.list_(pa.int32())),
                         pa.array(digests, pa.binary()),
                         keys,
                         signature,
                     ],
-                    names=["doc_id", "line", "words", "digest", "bands", "signature"],
+                    names=["doc_id", "line", "sizes", "digest", "bands", "signature"],
                 )
 
     return _texts(documents).mapInArrow(
         run,
-        "doc_id long, line int, words int, digest binary, bands array<bigint>, "
+        "doc_id long, line int, sizes array<int>, digest binary, bands array<bigint>, "
         "signature binary",
     )
 
 
-def pieces(documents: DataFrame, min_words: int) -> DataFrame:
-    """Self-cut pieces of the lines: place, first word, number of words, digest."""
+def _paragraph_texts(documents: DataFrame, min_words: int) -> DataFrame:
+    """Place and words of every paragraph."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch):
-                rows, numbers, lines = _line_rows(piece)
-                flat = mapped(pa.array(lines, pa.string()), SPACED)
-                codes, words, offsets = split_words(flat)
-                if not len(codes):
-                    continue
-                cuts = cut_points(word_hashes(words)[codes], offsets)
-                owner = np.searchsorted(offsets, cuts, "right") - 1
-                ends = np.append(cuts[1:], len(codes))
-                # A line too short for a removal has no pieces.
-                long = np.diff(offsets)[owner] >= min_words
-                cuts, ends, owner = cuts[long], ends[long], owner[long]
-                pair = [
-                    run_digests(word_hashes(words, seed)[codes], cuts, ends)
-                    for seed in (1, 2)
-                ]
+                units = list(_units(piece, min_words))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("doc_id").take(pa.array(rows[owner])),
-                        pa.array(numbers[owner], pa.int32()),
-                        pa.array(cuts - offsets[owner], pa.int32()),
-                        pa.array(ends - cuts, pa.int32()),
-                        pa.array(pair[0].view(np.int64)),
-                        pa.array(pair[1].view(np.int64)),
+                        piece.column("doc_id").take(pa.array([u[0] for u in units], pa.int64())),
+                        pa.array([u[1] for u in units], pa.int32()),
+                        pa.array([u[3] for u in units], pa.string()),
                     ],
-                    names=["doc_id", "line", "word", "words", "k1", "k2"],
+                    names=["doc_id", "line", "text"],
                 )
 
-    return _texts(documents).mapInArrow(
-        run, "doc_id long, line int, word int, words int, k1 long, k2 long"
-    )
+    return _texts(documents).mapInArrow(run, "doc_id long, line int, text string")
+
+
+def _grams(
+    hashed: np.ndarray, offsets: np.ndarray, size: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of every run of ``size`` words inside a text."""
+    value, begins = shingle_hashes(hashed, offsets, size)
+    counts = np.diff(begins)
+    place = np.repeat(offsets[:-1] - begins[:-1], counts) + np.arange(len(value))
+    whole = np.repeat(np.diff(offsets) >= size, counts)
+    return value[whole], place[whole]
+
+
+def seeds_of_runs(
+    hashed: np.ndarray, offsets: np.ndarray, min_words: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of every run of ``min_words`` words, first word and hash of its seed."""
+    size = min(SEED, min_words)
+    value, place = _grams(hashed, offsets, size)
+    width = min_words - size + 1
+    if len(value) < width:
+        nothing = np.empty(0, np.int64)
+        return nothing, nothing, np.empty(0, np.uint64)
+    least = np.lib.stride_tricks.sliding_window_view(value, width).argmin(axis=1)
+    begin = np.arange(len(least))
+    # A window over two texts is no run.
+    begin = begin[place[width - 1 :] - place[: len(least)] == width - 1]
+    owner = np.searchsorted(offsets, place, "right")
+    begin = begin[owner[begin] == owner[begin + width - 1]]
+    at = begin + least[begin]
+    return place[begin], place[at], value[at]
+
+
+def _stream(piece: pa.RecordBatch):
+    """Word hashes of a slice, where texts and lines begin, and the row of each line."""
+    rows, _, lines = _line_rows(piece)
+    codes, words, ends = split_words(mapped(pa.array(lines, pa.string()), SPACED))
+    hashed = word_hashes(words)[codes] if len(codes) else np.empty(0, np.uint64)
+    tops = np.searchsorted(rows, np.arange(piece.num_rows + 1))
+    return hashed, ends[tops], ends, tops
+
+
+def seeds(documents: DataFrame, min_words: int) -> DataFrame:
+    """Seeds of all runs: document, text, first word and hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_slices(batch):
+                hashed, offsets, _, _ = _stream(piece)
+                _, at, value = seeds_of_runs(hashed, offsets, min_words)
+                at, first = np.unique(at, return_index=True)
+                owner = np.searchsorted(offsets, at, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id").take(pa.array(owner)),
+                        piece.column("row").take(pa.array(owner)),
+                        pa.array(at - offsets[owner], pa.int32()),
+                        pa.array(value[first].view(np.int64)),
+                    ],
+                    names=["doc_id", "row", "at", "key"],
+                )
 
+    return _rows(documents).mapInArrow(run, "doc_id long, row long, at int, key long")
 
-def run_digests(hashed: np.ndarray, cuts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit digest of each run of words, from the words' order and hashes."""
-    out = np.zeros(len(cuts), np.uint64)
-    at, going = cuts.copy(), np.arange(len(cuts))
-    while len(going):
-        mixed = (out[going] ^ hashed[at[going]]) * np.uint64(0x9FB21C651E98DF25)
-        out[going] = mixed ^ (mixed >> np.uint64(28))
-        at[going] += 1
-        going = going[at[going] < ends[going]]
-    return out
+
+def runs_with(chosen: DataFrame, min_words: int) -> DataFrame:
+    """Runs whose seeds are among ``seeds`` of their row: place, line and hash; a
+    text's first one has the words at which its lines begin and the text ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_slices(batch):
+                hashed, offsets, ends, tops = _stream(piece)
+                begin, at, _ = seeds_of_runs(hashed, offsets, min_words)
+                listed = piece.column("seeds")
+                wanted = listed.flatten().to_numpy().astype(np.int64)
+                sizes = np.array([len(x) for x in listed], np.int64)
+                wanted = wanted + np.repeat(offsets[:-1], sizes)
+                begin = begin[np.isin(at, wanted)]
+                value, place = _grams(hashed, offsets, min_words)
+                value = value[np.searchsorted(place, begin)] if len(begin) else value[:0]
+                owner = np.searchsorted(offsets, begin, "right") - 1
+                line = np.searchsorted(ends, begin, "right") - 1 - tops[owner]
+                starts: list = [None] * len(begin)
+                for k in np.unique(owner, return_index=True)[1].tolist():
+                    i = owner[k]
+                    starts[k] = ends[tops[i] : tops[i + 1] + 1] - offsets[i]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id").take(pa.array(owner)),
+                        piece.column("row").take(pa.array(owner)),
+                        pa.array(begin - offsets[owner], pa.int32()),
+                        pa.array(line, pa.int32()),
+                        pa.array(value.view(np.int64)),
+                        pa.array(starts, pa.list_(pa.int32())),
+                    ],
+                    names=["doc_id", "row", "at", "line", "key", "starts"],
+                )
+
+    return chosen.mapInArrow(
+        run, "doc_id long, row long, at int, line int, key long, starts array<int>"
+    )
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -166,6 +252,11 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
+def _rows(documents: DataFrame) -> DataFrame:
+    """As ``_texts``, and a hash that tells texts of one id apart."""
+    return _texts(documents).withColumn("row", F.xxhash64("text"))
+
+
 def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFrame:
     found = ws.keep(paragraphs(documents, min_words))
     # Equal paragraphs of a group shrink to their first one before the shuffle.
@@ -180,9 +271,7 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
     marks = distinct.select("id", "first.bands", "first.signature")
     # Lines are read again only where their band is shared.
     at = distinct.select("id", "first.doc_id", "first.line")
-    lines = _texts(documents).select(
-        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")
-    )
+    lines = _paragraph_texts(documents, min_words)
     texts = lines.join(by_shuffle(at), ["doc_id", "line"]).select("id", "text")
     classes = linked_components(ws, marks, texts, ROWS, BANDS, SHINGLE, PERCENT)
     named = distinct.join(ws.keep(classes), "id", "left").select(
@@ -201,12 +290,16 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
         named.join(clusters, "cluster").select("digest", "cluster", "keep")
     )
     return (
-        found.select("doc_id", "line", "words", "digest")
+        found.select("doc_id", "line", "sizes", "digest")
         .join(by_shuffle(repeated), "digest")
         .filter(F.col("doc_id") != F.col("keep.doc_id"))
+        .select(
+            "doc_id", "line", F.posexplode("sizes").alias("below", "words"), "keep"
+        )
+        .filter("words > 0")
         .select(
             "doc_id",
-            "line",
+            (F.col("line") + F.col("below")).alias("line"),
             F.lit(0).alias("first_word"),
             "words",
             F.col("keep.doc_id").alias("keep_doc_id"),
@@ -216,53 +309,82 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
     )
 
 
-def _piece_runs(ws: Workspace, documents: DataFrame, min_words: int) -> DataFrame:
-    found = ws.keep(pieces(documents, min_words))
-    firsts = ws.keep(
-        found.groupBy("k1", "k2")
-        .agg(
-            F.min(F.struct("doc_id", "line", "word")).alias("keep"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .filter("n > 1")
-        .drop("n")
+def _several(rows: DataFrame, *kept: str) -> DataFrame:
+    """Keys that several documents hold, with the least of ``kept``."""
+    return (
+        rows.groupBy("key")
+        .agg(F.min(F.struct(*kept)).alias("keep"), F.max("doc_id").alias("last"))
+        .filter("last > keep.doc_id")
+        .drop("last")
+    )
+
+
+def _repeated_runs(ws: Workspace, documents: DataFrame, min_words: int) -> DataFrame:
+    found = ws.keep(seeds(documents, min_words))
+    shared = ws.keep(_several(found, "doc_id").select("key"))
+    places = ws.keep(
+        found.join(by_shuffle(shared), "key")
+        .groupBy("doc_id", "row")
+        .agg(F.collect_set("at").alias("seeds"))
     )
+    ws.drop(found, shared)
+    chosen = _rows(documents).join(by_shuffle(places), ["doc_id", "row"])
+    grams = ws.keep(runs_with(chosen, min_words))
+    ws.drop(places)
+    firsts = ws.keep(_several(grams, "doc_id", "line"))
     repeats = (
-        found.join(by_shuffle(firsts), ["k1", "k2"])
+        grams.select("doc_id", "row", "at", "key")
+        .join(by_shuffle(firsts), "key")
         .filter(F.col("doc_id") != F.col("keep.doc_id"))
-        .select("doc_id", "line", "word", "words", "keep")
+        .select("doc_id", "row", "at", "keep")
         .distinct()
     )
-    # Adjacent repeats of a line share the difference of place and words before it.
-    line = Window.partitionBy("doc_id", "line").orderBy("word", "words")
-    before = F.lag(F.col("word") + F.col("words")).over(line)
-    opens = F.when(before == F.col("word"), 0).otherwise(1)
-    runs = repeats.withColumn("opens", opens).withColumn("run", F.sum("opens").over(line))
-    return (
-        runs.groupBy("doc_id", "line", "run")
+    text = Window.partitionBy("doc_id", "row").orderBy("at")
+    gap = F.col("at") - F.lag("at").over(text)
+    opens = F.when(gap <= min_words, 0).otherwise(1)
+    spans = (
+        repeats.withColumn("opens", opens)
+        .withColumn("run", F.sum("opens").over(text))
+        .groupBy("doc_id", "row", "run")
         .agg(
-            F.min("word").alias("first_word"),
-            F.sum("words").cast("int").alias("words"),
+            F.min("at").alias("first"),
+            (F.max("at") + min_words).alias("last"),
             F.min("keep").alias("keep"),
         )
-        .filter(F.col("words") >= min_words)
+    )
+    starts = (
+        grams.filter("starts is not null").select("doc_id", "row", "starts").distinct()
+    )
+    parts = F.transform(
+        F.sequence(F.lit(0), F.size("starts") - 2),
+        lambda i: F.struct(
+            i.alias("line"),
+            F.get("starts", i).alias("start"),
+            F.greatest("first", F.get("starts", i)).alias("first"),
+            F.least("last", F.get("starts", i + 1)).alias("last"),
+        ),
+    )
+    return (
+        spans.join(by_shuffle(starts), ["doc_id", "row"])
+        .withColumn("part", F.explode(F.filter(parts, lambda x: x["last"] > x["first"])))
         .select(
             "doc_id",
-            "line",
-            "first_word",
-            "words",
+            "part.line",
+            (F.col("part.first") - F.col("part.start")).alias("first_word"),
+            (F.col("part.last") - F.col("part.first")).alias("words"),
             F.col("keep.doc_id").alias("keep_doc_id"),
             F.col("keep.line").alias("keep_line"),
         )
+        .distinct()
     )
 
 
 def removals(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per span to remove: document, line, first word, number of words, and
-    where the text stays.  A line removed whole is not reported by parts as well."""
+    """One row per span and line to remove: document, line, first word, number of words,
+    and where the text stays.  A line removed whole is not reported by parts as well."""
     ws = Workspace(documents.sparkSession, "substring-dedup")
     whole = ws.keep(_whole_lines(ws, documents, min_words))
-    runs = _piece_runs(ws, documents, min_words).join(
+    runs = _repeated_runs(ws, documents, min_words).join(
         whole.select("doc_id", "line").distinct(), ["doc_id", "line"], "left_anti"
     )
     return whole.unionByName(runs.select(*whole.columns))
