@@ -241,6 +241,44 @@ def test_many_copies_of_one_paragraph(documents):
     assert substring_dedup.removals(documents([])).count() == 0
 
 
+def test_removals_cover_all_shared_runs_of_words(documents):
+    rng = random.Random(8)
+
+    def wrapped(words, per_line):
+        lines = [words[i : i + per_line] for i in range(0, len(words), per_line)]
+        return "\n".join(" ".join(x) for x in lines)
+
+    rows = []
+    for size in (25, 30, 51, 60, 75):  # inside lines that are otherwise apart
+        passage = prose(rng, size)
+        for _ in range(3):
+            own = prose(rng, 90) + passage + prose(rng, 90)
+            rows.append((len(rows), " ".join(own)))
+    for size in (26, 60, 200):  # over lines of few words, broken at other places
+        passage = prose(rng, size)
+        for per_line in (5, 7, 12):
+            own = prose(rng, 40) + passage + prose(rng, 40)
+            rows.append((len(rows), wrapped(own, per_line)))
+    rows += [(70 + i, wrapped(rows[0][1].split(), 9)) for i in range(2)]
+    rows += [(80 + i, wrapped(prose(rng, 150), 6)) for i in range(5)]
+    want, seen = set(), {}
+    for i, value in rows:
+        words = value.split()
+        for k in range(len(words) - 24):
+            if seen.setdefault(tuple(words[k : k + 25]), i) != i:
+                want |= {(i, j) for j in range(k, k + 25)}
+    got, places = set(), dict(rows)
+    for r in substring_dedup.removals(documents(rows)).collect():
+        before = [len(x.split()) for x in places[r.doc_id].split("\n")[: r.line]]
+        first = sum(before) + r.first_word
+        assert r.words > 0 and r.keep_doc_id < r.doc_id
+        got |= {(r.doc_id, j) for j in range(first, first + r.words)}
+    # A paragraph of short lines may be a near copy a few words beyond a shared run.
+    assert want <= got and len(got - want) < 40
+    assert {w for w in got if w[0] < 15} == {w for w in want if w[0] < 15}
+    assert not [w for w in got if w[0] >= 80]
+
+
 def test_near_copies_of_short_lines_are_paragraphs(documents):
     rng = random.Random(9)
     words = prose(rng, 24)
