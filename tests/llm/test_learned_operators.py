@@ -73,6 +73,28 @@ def test_toxicity_without_labels(spark, documents):
     assert toxicity.toxicity(documents([]), nothing).count() == 0
 
 
+@pytest.mark.parametrize(
+    "given", [[], [(0, 1)], [(0, 0)], [(i, i % 2) for i in range(60)], [(i, 1) for i in range(9)]]
+)
+def test_texts_without_evidence_are_not_rejected(spark, documents, given):
+    rng = random.Random(4)
+    rows = [(i, " ".join([*prose(rng, 9), "rotten"] if i % 2 else prose(rng, 9))) for i in range(60)]
+    plain = [(1000, None), (1001, ""), (1002, "qqq zzz"), (1003, "xxx")]
+    labels = spark.createDataFrame(given, "doc_id long, toxic int")
+    docs = documents([*rows, *plain])
+    kept = {r.doc_id for r in toxicity.clean(docs, labels).collect()}
+    assert {1000, 1001, 1002, 1003} <= kept
+    found = toxicity.toxicity(docs, labels).collect()
+    assert kept == {r.doc_id for r in found if not r.predicted}
+
+
+def test_the_pipeline_s_first_stage_without_labels(spark, documents, tmp_path):
+    path = str(tmp_path / "labels.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(path)
+    docs = documents([(1, "one two"), (2, ""), (3, None)])
+    assert corpus_pipeline.without_toxic(spark, docs, str(tmp_path)).count() == 3
+
+
 # -- language ----------------------------------------------------------------
 
 

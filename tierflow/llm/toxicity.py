@@ -10,7 +10,9 @@ bounded by the number of coordinates, and what is broadcast is at most that many
 
 Defined results: a null or empty text has no feature but the bias; a labelled id that
 occurs in several rows is learned from each; labels other than 0 and 1 and null labels
-are ignored; without labelled rows every score is 0.5 less the empty bias, that is 0.5;
+are ignored; without labelled rows every score is 0.5.  The bias has no L1 term and is
+never positive, so a text without a feature of weight scores 0.5 at most, whatever the
+share of toxic labels, and only a score above 0.5 is predicted toxic and rejected;
 other columns are ignored; an empty table gives no row.
 """
 
@@ -59,12 +61,15 @@ class Learner:
     def __init__(self):
         self.z = np.zeros(COORDINATES)
         self.n = np.zeros(COORDINATES)
+        self.l1 = np.full(COORDINATES, L1)
+        self.most = np.full(COORDINATES, np.inf)
+        self.l1[0] = self.most[0] = 0.0
 
     def weights(self, at) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
-        shrunk = np.sign(z) * L1 - z
+        z, n, l1 = self.z[at], self.n[at], self.l1[at]
+        shrunk = np.sign(z) * l1 - z
         rate = (BETA + np.sqrt(n)) / ALPHA + L2
-        return np.where(np.abs(z) > L1, shrunk / rate, 0.0)
+        return np.minimum(np.where(np.abs(z) > l1, shrunk / rate, 0.0), self.most[at])
 
     def learn(self, at: np.ndarray, label: int) -> None:
         w = self.weights(at)
@@ -167,12 +172,12 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
         "doc_id",
         held_out().alias("held_out"),
         "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        (F.col("score") > 0.5).cast("int").alias("predicted"),
     )
 
 
 def clean(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
-    """The rows of ``documents`` that score below 0.5, with their own columns."""
+    """The rows of ``documents`` that score 0.5 at most, with their own columns."""
     weights = learn(documents, labels, **limits)
     shared = documents.sparkSession.sparkContext.broadcast(weights)
 
@@ -180,7 +185,7 @@ def clean(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
         return [pa.array(text_scores(texts, shared.value))]
 
     scored = annotated(documents, work, "__score double")
-    return scored.filter("__score < 0.5").drop("__score")
+    return scored.filter("__score <= 0.5").drop("__score")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
