@@ -46,6 +46,25 @@ def test_counts_are_the_library_s():
         assert got.tolist() == [len(ids) for ids in library_ids(path, texts)]
 
 
+CASED = [
+    "a <|ENDOFTEXT|> b",
+    "A<|EndOfText|>B <|endoftext|> Hello WORLD",
+    "<|STARTOFTEXT|>\tÜber <|startoftext|>É",
+    "Plain Words\tHERE",
+    "it'S <| NOT |> one <|END OFTEXT|>",
+]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_strings_are_found_in_the_text_as_it_is(path):
+    texts = pa.array(CASED, pa.string())
+    ids, offsets = token_ids(texts, path)
+    got = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+    want = library_ids(path, CASED)
+    assert got == want
+    assert token_counts.text_token_counts(texts, path).tolist() == list(map(len, want))
+
+
 def test_merging_equals_one_pair_after_the_other():
     table = token_counts.merges(WORD)
     rng = random.Random(5)

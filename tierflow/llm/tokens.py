@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from tierflow.llm.shared import offsets_of, ragged_take
-from tierflow.llm.words import SPACED, mapped
+from tierflow.llm.words import SPACED, WHITE, mapped
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -194,7 +194,9 @@ def piece_values(texts: pa.Array, path: str, words: Lexicon):
     texts = pc.fill_null(texts, "")
     keep_space = spaced(path)
     if not keep_space:
-        texts = mapped(texts, SPACED)
+        # Special strings are found in the text as it is, before it is lower-cased.
+        special = pc.match_substring(texts, "<|")
+        texts = pc.if_else(special, mapped(texts, WHITE), mapped(texts, SPACED))
     codes, pieces, offsets = _pieces(texts, keep_space)
     values, bounds = words.find(pieces.to_pylist())
     return codes, offsets, values, bounds

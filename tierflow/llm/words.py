@@ -7,8 +7,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-#: Byte maps applied to UTF-8 text: A-Z to lower case, and all that is no word to a space.
+#: Byte maps applied to UTF-8 text: A-Z to lower case, and all that is no word to a space;
+#: WHITE keeps the case.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+WHITE = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 SPACED = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in LOWER)
 ALPHANUMERIC = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in LOWER
