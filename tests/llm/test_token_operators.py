@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -65,6 +66,32 @@ def test_special_strings_are_found_in_the_text_as_it_is(path):
     assert token_counts.text_token_counts(texts, path).tolist() == list(map(len, want))
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@pytest.mark.parametrize(
+    "piece", ["a" * 10_000 + "1", "-" * 10_000 + "\u2026", "ab" * 5000 + "\u2019s", "é" * 9999 + "--7"]
+)
+def test_long_runs_take_linear_time(path, piece):
+    texts = pa.array([f"see {piece} there"], pa.string())
+    started = time.monotonic()
+    ids, _ = token_ids(texts, path)
+    count = token_counts.text_token_counts(texts, path)
+    assert time.monotonic() - started < 30
+    want = library_ids(path, texts.to_pylist())
+    assert ids.tolist() == want[0] and count.tolist() == [len(want[0])]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_random_strings_are_the_library_s(path):
+    rng = random.Random(11)
+    parts = [*"abcXYZ019 .,-'!\n\t", "  ", "é", "Ü", "ß", "日本", "😀", "\u2026", "\u2019", "\u00a0", "<|", "'s", "don't", "<|endoftext|>", "\x1c", "\u0301"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    ids, offsets = token_ids(pa.array(texts, pa.string()), path)
+    want = library_ids(path, texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+    counts = token_counts.text_token_counts(pa.array(texts, pa.string()), path)
+    assert counts.tolist() == list(map(len, want))
+
+
 def test_merging_equals_one_pair_after_the_other():
     table = token_counts.merges(WORD)
     rng = random.Random(5)

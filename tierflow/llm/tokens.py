@@ -30,7 +30,6 @@ MARKS = r"!-/:-@\[-`{-~"
 _PLAIN_PIECE = re.compile(f" ?[{PLAIN}]+")
 #: Pieces that fall into such runs and single line breaks; no contraction is in them.
 _RUNS = re.compile(rf" ?[{PLAIN}]+| ?[{MARKS}]+|(?<=\S)\n(?=\S)")
-_IN_RUNS = re.compile(rf"(?:{_RUNS.pattern})+")
 #: White space beside the single spaces at which a text may be cut.
 _UNEVEN = r"^[\s\p{Z}]|[\s\p{Z}]$|[\s\p{Z}\x0B\x1C-\x1F\x85] | [\s\p{Z}\x0B\x1C-\x1F\x85]"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -149,7 +148,9 @@ def _parts(piece: str) -> list[str]:
     """The runs of a piece where they are pre-tokens, else the piece itself."""
     if _PLAIN_PIECE.fullmatch(piece) or "'" in piece or "<|" in piece:
         return [piece]
-    return _RUNS.findall(piece) if _IN_RUNS.fullmatch(piece) else [piece]
+    # One pass that may leave gaps: a pattern for the whole would try every split of a run.
+    runs = _RUNS.findall(piece)
+    return runs if sum(map(len, runs)) == len(piece) else [piece]
 
 
 @lru_cache(maxsize=4)
