@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
@@ -69,7 +73,8 @@ def test_toxicity_repeats_and_shards(spark, documents):
 def test_toxicity_without_labels(spark, documents):
     nothing = spark.createDataFrame([], "doc_id long, toxic int")
     found = toxicity.toxicity(documents(EDGES), nothing).collect()
-    assert len(found) == len(EDGES) and {r.score for r in found} == {0.5}
+    assert len(found) == len(EDGES)
+    assert all(r.score < 0.5 and r.predicted == 0 for r in found)
     assert toxicity.toxicity(documents([]), nothing).count() == 0
 
 
@@ -86,6 +91,49 @@ def test_texts_without_evidence_are_not_rejected(spark, documents, given):
     assert {1000, 1001, 1002, 1003} <= kept
     found = toxicity.toxicity(docs, labels).collect()
     assert kept == {r.doc_id for r in found if not r.predicted}
+    assert all(r.predicted == (r.score >= 0.5) for r in found)
+
+
+def test_a_score_of_one_half_is_predicted_toxic(spark, documents):
+    weights = np.zeros(toxicity.COORDINATES, np.float32)
+    (row,) = toxicity.score(documents([(1, "even odds")]), weights).collect()
+    assert (row.score, row.predicted) == (0.5, 1)
+
+
+def test_weights_are_those_of_plain_ftrl(spark, documents):
+    """One shard against the published update, a row and a coordinate at a time."""
+    rows, labels = toxic_rows(random.Random(9), 80)
+    truth = dict(labels)
+    got = toxicity.learn(documents(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    usable = [(i, t) for i, t in rows if not is_held_out(i)]
+    ids = spark.createDataFrame(usable, "doc_id long, text string")
+    order = F.xxhash64(F.lit("order"), "doc_id")
+    ordered = [(r.doc_id, r.text) for r in ids.orderBy(order).collect()]
+    z, n = {}, {}
+
+    def weight(i):
+        bias = i == 0
+        l1 = 0.0 if bias else toxicity.L1
+        held = z.get(i, 0.0)
+        w = 0.0
+        if abs(held) > l1:
+            rate = (toxicity.BETA + n.get(i, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2
+            w = -(held - math.copysign(l1, held)) / rate
+        return min(w, toxicity.PRIOR) if bias else w
+
+    for _ in range(toxicity.EPOCHS):
+        for doc_id, body in ordered:
+            at = {int(i) for i in toxicity.features(pa.array([body]))[0]}
+            own = {i: weight(i) for i in at}
+            error = 1 / (1 + math.exp(-sum(own.values()))) - truth[doc_id]
+            for i in at:
+                before = n.get(i, 0.0)
+                sigma = ((before + error**2) ** 0.5 - before**0.5) / toxicity.ALPHA
+                z[i] = z.get(i, 0.0) + error - sigma * own[i]
+                n[i] = before + error**2
+    want = {i: weight(i) for i in z}
+    assert {int(i) for i in np.flatnonzero(got)} == {i for i, w in want.items() if w}
+    assert all(abs(got[i] - w) < 1e-5 for i, w in want.items())
 
 
 def test_the_pipeline_s_first_stage_without_labels(spark, documents, tmp_path):

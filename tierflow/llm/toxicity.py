@@ -4,16 +4,17 @@ Features are the words of a text, pairs of adjacent words and pairs with one wor
 out, each hashed to a coordinate and counted once.  FTRL-proximal keeps a learning rate
 per coordinate, and its L1 term leaves most weights at exactly zero.
 
-Labelled rows are dealt to shards by hash; every shard learns from a stream of its rows
-in a fixed order, ``EPOCHS`` times over, and the shards' weights are averaged.  So the weights repeat, memory is
-bounded by the number of coordinates, and what is broadcast is at most that many floats.
+Labelled rows are dealt to shards by hash.  A shard turns its rows into features once,
+learns from them in a fixed order ``EPOCHS`` times over, and the shards' weights are
+averaged.  So the weights repeat, memory is bounded by the coordinates and by the
+distinct features of ``shard_rows`` rows, and what is broadcast is at most that many floats.
 
 Defined results: a null or empty text has no feature but the bias; a labelled id that
 occurs in several rows is learned from each; labels other than 0 and 1 and null labels
-are ignored; without labelled rows every score is 0.5.  The bias has no L1 term and is
-never positive, so a text without a feature of weight scores 0.5 at most, whatever the
-share of toxic labels, and only a score above 0.5 is predicted toxic and rejected;
-other columns are ignored; an empty table gives no row.
+are ignored.  The bias has no L1 term and never rises above ``PRIOR``, a little below
+zero, so a text without a feature of weight scores below 0.5, whatever the share of toxic
+labels and also where no row is labelled; a score of 0.5 or more is predicted toxic and
+rejected; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ COORDINATES = 1 << 20
 #: A weight moves from zero only once several rows have pushed it the same way.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 EPOCHS = 3
+#: Most that the bias may be: what a text without evidence is held for.
+PRIOR = -0.01
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +66,7 @@ class Learner:
         self.n = np.zeros(COORDINATES)
         self.l1 = np.full(COORDINATES, L1)
         self.most = np.full(COORDINATES, np.inf)
-        self.l1[0] = self.most[0] = 0.0
+        self.l1[0], self.most[0] = 0.0, PRIOR
 
     def weights(self, at) -> np.ndarray:
         z, n, l1 = self.z[at], self.n[at], self.l1[at]
@@ -86,9 +89,13 @@ def probability(score):
 
 def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Non-zero weights of every shard; rows come sorted by shard."""
-    shard, learner = None, Learner()
+    shard, rows = None, []
 
     def result() -> pa.RecordBatch:
+        learner = Learner()
+        for _ in range(EPOCHS):
+            for coordinates, label in rows:
+                learner.learn(coordinates, label)
         w = learner.weights(slice(None))
         at = np.flatnonzero(w)
         return pa.RecordBatch.from_arrays(
@@ -100,15 +107,15 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, owner = features(piece.column("text"))
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(piece.num_rows + 1))
-            at = at[order]
+            at = at[order].astype(np.int32)
             labels = piece.column("toxic").to_pylist()
             for k, own in enumerate(piece.column("shard").to_pylist()):
                 if own != shard:
-                    if shard is not None:
+                    if rows:
                         yield result()
-                    shard, learner = own, Learner()
-                learner.learn(np.unique(at[cuts[k] : cuts[k + 1]]), labels[k])
-    if shard is not None:
+                    shard, rows = own, []
+                rows.append((np.unique(at[cuts[k] : cuts[k + 1]]), labels[k]))
+    if rows:
         yield result()
 
 
@@ -137,9 +144,8 @@ def learn(
         .join(F.broadcast(usable), "doc_id")
         .withColumn("order", order)
         .withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)))
-        .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
         .repartitionById(shards, F.col("shard").cast("int"))
-        .sortWithinPartitions("shard", "epoch", "order", "doc_id", "text", "toxic")
+        .sortWithinPartitions("shard", "order", "doc_id", "text", "toxic")
         .select("text", "toxic", "shard")
     )
     summed = (
@@ -148,6 +154,7 @@ def learn(
     found = summed.toPandas()
     weights = np.zeros(COORDINATES, np.float32)
     weights[found["at"].to_numpy(np.int64)] = found["w"].to_numpy() / shards
+    weights[0] = min(weights[0], PRIOR)
     return weights
 
 
@@ -172,12 +179,12 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
         "doc_id",
         held_out().alias("held_out"),
         "score",
-        (F.col("score") > 0.5).cast("int").alias("predicted"),
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def clean(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
-    """The rows of ``documents`` that score 0.5 at most, with their own columns."""
+    """The rows of ``documents`` that score below 0.5, with their own columns."""
     weights = learn(documents, labels, **limits)
     shared = documents.sparkSession.sparkContext.broadcast(weights)
 
@@ -185,7 +192,7 @@ def clean(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
         return [pa.array(text_scores(texts, shared.value))]
 
     scored = annotated(documents, work, "__score double")
-    return scored.filter("__score <= 0.5").drop("__score")
+    return scored.filter("__score < 0.5").drop("__score")
 
 
 def toxicity(documents: DataFrame, labels: DataFrame, **limits) -> DataFrame:
