@@ -12,6 +12,7 @@ from tierflow.llm import (
     line_dedup,
     near_dedup,
     packing,
+    periodic_runs,
     substring_dedup,
     token_counts,
     token_files,
@@ -91,6 +92,57 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
 
+def _with_planted_runs(documents: DataFrame) -> DataFrame:
+    """A tenth of the documents, by the id's checksum, end in a repeated block."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.select(
+        "doc_id",
+        "text",
+        F.when(h % 10 == 0, words).alias("words"),
+        F.floor(h / 10).cast("long").alias("g"),
+    )
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.col("g") % 8)).cast("int")
+    block = F.slice("words", a + 1, p)
+    tail = F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), a), F.slice(tail, F.lit(1), n - a))
+    return chosen.select(
+        "doc_id",
+        F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_runs(_documents(spark, sf_dir)))
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(r["length"], -r["start"], -r["period"]).cast(
+                "struct<length: long, start: long, period: long>"
+            ),
+        )
+    )
+    listed = F.transform(
+        "runs",
+        lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]),
+    )
+    lines = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period"))
+        .cast("long")
+        .alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -102,4 +154,5 @@ LLM_QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
 }
