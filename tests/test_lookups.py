@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tierflow.operators.lookups import (
     house_lookup,
     site_lookup,
 )
-from tierflow.operators.ordinals import integer_slices, number_rows
+from tierflow.operators.ordinals import number_rows, running_totals
 
 
 def test_account_lookup(spark):
@@ -63,9 +64,11 @@ def test_missing_lookup_columns(spark, build):
         build(spark.range(1))
 
 
-@pytest.mark.parametrize("bits", [0, 1, 3, 16])
-def test_numbering_is_the_same_for_every_slice_width(spark, bits):
+@pytest.mark.parametrize("slices", [1, 3, 8, 40])
+def test_numbering_is_the_same_for_every_number_of_slices(spark, conf, slices):
     """A group with most rows, a NULL group, many copies and NULL order values."""
+    conf("spark.sql.shuffle.partitions", str(slices))
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rng = random.Random(3)
     rows = [
         (
@@ -86,13 +89,46 @@ def test_numbering_is_the_same_for_every_slice_width(spark, bits):
         for g, members in groups.items()
         for place, (*_, k, v) in enumerate(sorted(members, key=lambda m: m[:4]), 1)
     )
-    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
-    numbered = number_rows(frame, ["g"], order, "n", integer_slices("k", "v", bits=bits))
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == jobs
+    numbered = number_rows(frame, ["g"], order, "n")
     got = sorted((repr(r.g), r.n, repr(r.k), repr(r.v)) for r in numbered.collect())
     assert got == want
 
 
+def test_running_totals_add_and_combine(spark, conf):
+    conf("spark.sql.shuffle.partitions", "7")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 0, 0, 0, 1]), i, rng.randint(-9, 9), rng.getrandbits(60)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "g int, i int, a int, x long")
+    got = running_totals(frame, ["g"], [F.col("i")], {"a_sum": F.col("a")}, {"x": F.col("x")})
+    assert got.columns == ["g", "i", "a", "a_sum", "x"]
+    seen = {(r.g, r.i): (r.a_sum, r.x) for r in got.collect()}
+    totals = defaultdict(lambda: (0, 0))
+    for g, i, a, x in rows:
+        assert seen[g, i] == totals[g]
+        totals[g] = (totals[g][0] + a, totals[g][1] ^ x)
+
+
+@pytest.mark.parametrize("suffix", ["id + 1", "7"])
+def test_a_hot_account_covers_many_slices(spark, conf, suffix):
+    """Houses of one account, by their number or by their row id alone."""
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    houses = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id as Id", "if(id % 10 = 0, id, 5) as AccountId", f"concat('House ', {suffix}) as Name"
+    )
+    got = house_lookup(houses)
+    assert got.filter("HouseAccountRowId = 5").agg(F.max("HouseOrdinal")).first()[0] == 36_000
+    sliced = spark.read.parquet(_newest_slices(spark))
+    held = [r["count"] for r in sliced.filter("HouseAccountRowId = 5").groupBy("__slice").count().collect()]
+    assert len(held) >= 14 and max(held) < 6_000
+
+
+def _newest_slices(spark) -> str:
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    return str(max(root.glob("ordinals-*"), key=lambda p: p.stat().st_mtime_ns))
+
+
 @pytest.fixture
 def lookups(spark) -> Lookups:
     return build_lookups(
@@ -153,14 +189,15 @@ def test_small_lookups_broadcast_and_large_ones_spread_null_keys(spark, lookups,
     small = dashboard(telemetry(spark, rows), lookups)
     want = rows_of(small)
     final = plan_of(small).split("== Initial Plan ==")[0]
-    # Three lookups, and the shifts of the numbered slices of two of them.
-    assert final.count("BroadcastHashJoin") == 5
+    # Three lookups; one slice has no shift, so that join drops out.
+    assert final.count("BroadcastHashJoin") == 3
 
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     large = dashboard(telemetry(spark, rows), lookups)
     text = plan_of(large)
-    assert text.count("SortMergeJoin") == 5
+    # The shifts have a row per slice at most and are broadcast at every size.
+    assert text.count("SortMergeJoin") == 3
     assert text.count("__spread") >= 3
     # Both inputs of every join are plain shuffles, which skew handling needs.
     assert "Exchange hashpartitioning(AccountRowId" in text
