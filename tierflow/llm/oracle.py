@@ -90,8 +90,43 @@ from (select doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as bo
 window same as (partition by body)
 """
 
+_SAID = "</s>[INST] ok [/INST]"
+_CONTROL = (
+    r"\\|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|<s>|</s>|\[INST\]|\[/INST\]"
+    r"|<<SYS>>|<</SYS>>|<\|startoftext\|>|<\|endoftext\|>"
+)
+
+_OP11 = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations
+  union all select -1, 0, 'user', '{_SAID}'
+  union all select -1, 1, 'assistant', '{_SAID}'
+), sized as (
+  -- Marks of 12, 10 and 10 characters; an escape for each backslash and control string.
+  select *, 32 + length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}'))
+    + len(regexp_extract_all(text, '{_CONTROL}')) as chars
+  from turns
+), placed as (
+  select *, row_number() over same as place, sum(chars) over same as upto from sized
+  window same as (partition by conv_id order by turn nulls first, role, text
+    rows between unbounded preceding and current row)
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint)
+    as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by place) filter (where role = 'assistant'), ''))
+    as loss_sha256,
+  cast(coalesce(sum(upto) filter (where role = 'assistant'), 0) + max(upto)
+    - coalesce(max(upto) filter (where role = 'assistant'), 0) as bigint)
+    as formatted_chars
+from placed group by conv_id
+"""
+
 LLM_ORACLE = {
     "op5_decontamination": _OP5,
     "op8_near_dedup": _OP8,
     "op9_exact_dedup": _OP9,
+    "op11_chat_format": _OP11,
 }

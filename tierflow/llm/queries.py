@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.llm import (
+    chat_format,
     decontamination,
     exact_dedup,
     language_id,
@@ -13,13 +15,16 @@ from tierflow.llm import (
     near_dedup,
     packing,
     periodic_runs,
+    prefix_trie,
     substring_dedup,
     token_counts,
     token_files,
     toxicity,
 )
 from tierflow.llm.oracle import LLM_ORACLE as LLM_ORACLE
+from tierflow.llm.shared import Workspace, by_shuffle
 from tierflow.sinks.scratch import scratch_path
+from tierflow.sources.scans import literal_rows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +97,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
 
+_TURN = T.StructType(
+    [
+        T.StructField("conv_id", T.LongType()),
+        T.StructField("turn", T.LongType()),
+        T.StructField("role", T.StringType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    extra = [
+        {"conv_id": -1, "turn": turn, "role": role, "text": said}
+        for turn, role in enumerate(["user", "assistant"])
+    ]
+    rows = given.select("conv_id", "turn", "role", "text").union(
+        literal_rows(spark, extra, _TURN)
+    )
+    target = scratch_path(spark, "chat-files")
+    chat_format.write_chat_files(rows, target)
+    return chat_format.chat_checks(spark, target)
+
+
 def _with_planted_runs(documents: DataFrame) -> DataFrame:
     """A tenth of the documents, by the id's checksum, end in a repeated block."""
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
@@ -143,6 +173,60 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rebuilt(ws: Workspace, turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Named turns with their first ones taken from the conversation whose id is the
+    next lower multiple of 20, and all conversations."""
+    turns = ws.keep(turns)
+    sizes = ws.keep(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    plan = sizes.select(
+        "conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base")
+    )
+    held = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("held"))
+    plan = ws.keep(
+        plan.join(by_shuffle(held), "base", "left").select(
+            "conv_id", "h", "base", F.least("h", F.coalesce("held", F.lit(0))).alias("taken")
+        )
+    )
+    # Twenty conversations at most share a base, and three turns of it at most are taken.
+    first = turns.filter("position <= 3").withColumnRenamed("conv_id", "base")
+    heads = (
+        plan.filter("taken > 0")
+        .join(by_shuffle(first), "base")
+        .filter("position <= taken")
+        .select("conv_id", "position", "h1", "h2", "words")
+    )
+    own = (
+        turns.join(by_shuffle(plan), "conv_id")
+        .filter("position > h")
+        .select(
+            "conv_id",
+            (F.col("taken") + F.col("position") - F.col("h")).alias("position"),
+            "h1",
+            "h2",
+            "words",
+        )
+    )
+    return heads.unionByName(own), sizes.select("conv_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = Workspace(spark, "prefix-trie")
+    named = prefix_trie.named_turns(_table(spark, sf_dir, "conversations"))
+    trie = prefix_trie.trie_of(ws, *_rebuilt(ws, named))
+    digests = prefix_trie.end_digests(trie.ends)
+    return trie.nodes.join(by_shuffle(digests), "id", "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -154,5 +238,7 @@ LLM_QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op11_chat_format": op11_chat_format,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
