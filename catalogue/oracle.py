@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from catalogue.changes import ORACLE as CHANGES
 from tierflow.functions.position import BIN_COUNT, bin_label
 
 _TELEMETRY = """
@@ -447,4 +448,5 @@ from telemetry""",
   year(LocalDateTime::date)::int as year, month(LocalDateTime::date)::int as month""",
     ),
     **HARD,
+    **CHANGES,
 }

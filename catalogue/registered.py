@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue import hard
+from catalogue import changes, hard
 from catalogue import standins as given
 from tierflow.functions.days import in_window
 from tierflow.functions.parsing import (
@@ -552,4 +552,5 @@ QUERIES = {
     "gold_end_to_end": gold_end_to_end,
     "preview_topk": preview_topk,
     **hard.QUERIES,
+    **changes.QUERIES,
 }

@@ -1,0 +1,308 @@
+"""Datasets that change under way: swaps cut short, types that widen or drift."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import rows_of
+from tests.test_plans import SPEC, raw_day, roots, write_raw  # noqa: F401  (fixture)
+from tests.test_sinks import content, layer
+from tierflow.plans import conforming
+from tierflow.plans.local_days import fingerprints, partitions_holding
+from tierflow.plans.verify import verify_outputs
+from tierflow.sinks import partitions, swap
+from tierflow.sinks.partitions import replace_partitions
+from tierflow.sinks.swap import finish_swap
+from tierflow.sinks.upsert import upsert
+from tierflow.sources.scans import (
+    known_schema,
+    open_swaps,
+    partition_inventory,
+    read_layer,
+    read_raw_parts,
+)
+from tierflow.sources.types import merged_schema, united, wider
+
+KEYS = ["k"]
+OLD = [(1, "a"), (2, "b"), (3, "c")]
+NEW = [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
+
+
+# -- swaps -------------------------------------------------------------------
+
+
+def cut_short(spark, path, monkeypatch, step):
+    """An upsert whose driver dies at its ``step``-th operation on files; False when
+    it has fewer."""
+    upsert(layer(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3)]), path, KEYS)
+    calls = 0
+
+    def dying(real):
+        def call(*arguments):
+            nonlocal calls
+            calls += 1
+            if calls == step:
+                raise KeyboardInterrupt
+            return real(*arguments)
+
+        return call
+
+    for name in ("move", "delete", "write_note"):
+        monkeypatch.setattr(swap, name, dying(getattr(swap, name)))
+    try:
+        upsert(layer(spark, [(1, "A", 1), (4, "D", 2)]), path, KEYS)
+        return False
+    except KeyboardInterrupt:
+        return True
+    finally:
+        monkeypatch.undo()
+
+
+#: A note, two moves for each of two days, three deletions.
+STEPS = range(1, 9)
+
+
+def test_a_swap_has_so_many_steps(spark, path, monkeypatch):
+    assert not cut_short(spark, path, monkeypatch, len(STEPS) + 1)
+    assert content(spark, path, "k", "v") == NEW
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_swap_that_dies_at_any_step(spark, path, monkeypatch, step):
+    """Readers see all new days or none, and whoever writes next loses nothing."""
+    assert cut_short(spark, path, monkeypatch, step)
+    want = OLD if step == 1 else NEW
+    assert content(spark, path, "k", "v") == want
+    outputs = {"x": (path, "PartitionDate")}
+    days = ["2026-05-01", "2026-05-02", "2026-05-03"]
+    assert rows_of(verify_outputs(spark, outputs)) == [("x", len(want), days)]
+    assert [r.day for r in partition_inventory(spark, path).orderBy("day").collect()] == days
+    assert sorted(fingerprints(spark, path)) == days
+
+    # A newer day, written by replacement, is not undone by the open swap.
+    replace_partitions(layer(spark, [(7, "new", 1)]), path)
+    after = [(7, "new"), *[row for row in want if row[0] != 1]]
+    assert content(spark, path, "k", "v") == sorted(after, key=repr)
+    assert not open_swaps(spark, path)
+    upsert(layer(spark, [(7, "newer", 1), (9, "z", 2)]), path, KEYS)
+    after = [(7, "newer"), (9, "z"), *[row for row in want if row[0] != 1]]
+    assert content(spark, path, "k", "v") == sorted(after, key=repr)
+    left = [n for n in os.listdir(path) if n.startswith("_") and n.endswith(("1", "2"))]
+    assert not left
+
+
+def test_two_open_swaps_keep_their_own_notes(spark, path):
+    rows = layer(spark, [(1, "a", 1), (2, "b", 2)])
+    replace_partitions(rows, path)
+    for mark, day in (("x", 1), ("y", 2), ("z", 2)):
+        partitions.stage_days(layer(spark, [(5, mark, day)]), path, partitions.CONFORMED_LAYOUT)
+    assert len(open_swaps(spark, path)) == 3
+    assert content(spark, path, "k", "v") == [(5, "x"), (5, "z")]
+    assert finish_swap(spark, path) and not finish_swap(spark, path)
+    assert content(spark, path, "k", "v") == [(5, "x"), (5, "z")]
+
+
+def test_a_day_written_past_an_open_swap_stays(spark, path, monkeypatch):
+    """By a writer that knows no swaps, after the old day was moved aside."""
+    assert cut_short(spark, path, monkeypatch, 3)
+    frame = layer(spark, [(8, "other", 1)])
+    day = glob.glob(f"{path}/_old-*/*/*/PartitionDate=2026-05-01")
+    assert day
+    frame.write.partitionBy("year", "month", "PartitionDate").mode("append").parquet(path)
+    finish_swap(spark, path)
+    assert (8, "other") in content(spark, path, "k", "v")
+
+
+def test_a_swapped_dataset_whose_days_are_all_staged(spark, path):
+    replace_partitions(layer(spark, [(1, "a", 1)]), path)
+    partitions.stage_days(layer(spark, [(1, "b", 1)]), path, partitions.CONFORMED_LAYOUT)
+    note = open_swaps(spark, path)[0]
+    os.rename(f"{path}/{note['days'][0]}", f"{path}/_gone")
+    assert content(spark, path, "k", "v") == [(1, "b")]
+    finish_swap(spark, path)
+    assert content(spark, path, "k", "v") == [(1, "b")]
+
+
+# -- types -------------------------------------------------------------------
+
+WIDENING = [
+    ("tinyint", "smallint"), ("smallint", "int"), ("int", "bigint"), ("tinyint", "bigint"),
+    ("int", "double"), ("float", "double"), ("int", "decimal(12,2)"), ("tinyint", "decimal(10,0)"),
+    ("bigint", "decimal(22,2)"), ("decimal(10,2)", "decimal(20,4)"), ("date", "timestamp_ntz"),
+]
+
+
+@pytest.mark.parametrize("low, high", WIDENING)
+def test_a_wider_type_reads_the_old_files(spark, path, low, high):
+    value = "date'2026-05-07'" if low == "date" else f"cast(7 as {low})"
+
+    def write(kind, day):
+        frame = layer(spark, [(1, "a", day)]).withColumn("w", F.expr(value).cast(kind))
+        replace_partitions(frame, path)
+
+    for nth, kind in enumerate((low, high, low), 1):
+        write(kind, nth)
+    held = read_layer(spark, path)
+    assert held.schema["w"].dataType.simpleString() == high
+    want = spark.sql(f"select cast({value} as {high})").first()[0]
+    assert [r.w for r in held.collect()] == [want] * 3
+
+
+@pytest.mark.parametrize(
+    "low, high",
+    [("int", "string"), ("bigint", "double"), ("double", "bigint"), ("boolean", "int"),
+     ("decimal(38,10)", "decimal(38,2)"), ("array<int>", "array<bigint>"), ("timestamp", "string")],
+)
+def test_an_impossible_change_is_refused_before_any_file_is_written(spark, path, low, high):
+    first = layer(spark, [(1, "a", 1)]).withColumn("w", F.lit(None).cast(low))
+    replace_partitions(first, path)
+    files = sorted(glob.glob(f"{path}/**", recursive=True))
+    note = known_schema(spark, path)
+    second = layer(spark, [(2, "b", 2)]).withColumn("w", F.lit(None).cast(high))
+    with pytest.raises(ValueError, match="w: "):
+        replace_partitions(second, path)
+    assert sorted(glob.glob(f"{path}/**", recursive=True)) == files
+    assert known_schema(spark, path) == note
+    assert content(spark, path, "k") == [(1,)]
+
+
+def test_a_failed_widening_write_leaves_the_old_days_readable(spark, path):
+    replace_partitions(layer(spark, [(1, "a", 1)]), path)
+    wide = layer(spark, [(2, "b", 2)]).withColumn("k", F.col("k").cast("bigint"))
+
+    broken = wide.withColumn("v", F.raise_error(F.lit("died")).cast("string"))
+    with pytest.raises(Exception, match="died"):
+        replace_partitions(broken, path)
+    assert known_schema(spark, path)["k"].dataType == T.LongType()
+    assert content(spark, path, "k", "v") == [(1, "a")]
+    replace_partitions(wide, path)
+    assert content(spark, path, "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_the_lattice_is_symmetric():
+    kinds = [T.ByteType(), T.LongType(), T.DoubleType(), T.FloatType(), T.StringType(),
+             T.DecimalType(10, 2), T.DecimalType(38, 0), T.DateType(), T.TimestampNTZType(), T.NullType()]
+    for one in kinds:
+        assert wider(one, one) == one and wider(T.NullType(), one) == one
+        for other in kinds:
+            assert wider(one, other) == wider(other, one)
+    assert wider(T.DecimalType(38, 0), T.DecimalType(10, 2)) is None
+    held = T.StructType([T.StructField("Day", T.StringType()), T.StructField("n", T.IntegerType())])
+    new = T.StructType([T.StructField("Day", T.DateType()), T.StructField("n", T.LongType())])
+    with pytest.raises(ValueError, match="Day: string and date"):
+        merged_schema(held, new, ["Day"])
+
+
+# -- raw files ---------------------------------------------------------------
+
+
+def raw_files(spark, path):
+    """Days of four kinds, one of them of two kinds in itself, one empty."""
+    for day, rows in {
+        1: "select 1 as k, 'a' as w",
+        2: "select '2' as k",
+        3: "select 3L as k, 5 as w, true as extra",
+        4: "select 4 as k, 'd' as w",
+    }.items():
+        spark.sql(rows).write.parquet(f"{path}/date=2026-05-0{day}")
+    both = f"{path}/date=2026-05-05"
+    spark.sql("select 5 as k, 'e' as w").write.parquet(both)
+    spark.sql("select '55' as k").write.mode("append").parquet(both)
+    os.makedirs(f"{path}/date=2026-05-06")
+
+
+def test_days_of_different_types_are_parts(spark, path):
+    raw_files(spark, path)
+    parts = read_raw_parts(spark, path)
+    kinds = {p.schema["k"].dataType.simpleString(): p for p in parts}
+    assert len(parts) == 3 and set(kinds) == {"int", "string", "bigint"}
+    assert rows_of(kinds["int"].select("k", "w")) == [(1, "a"), (4, "d"), (5, "e")]
+    assert rows_of(kinds["string"].select("k")) == [("2",), ("55",)]
+    rows = united(parts)
+    assert dict(rows.dtypes)["k"] == "string" and dict(rows.dtypes)["w"] == "string"
+    assert rows_of(rows.select("k", "w", "extra")) == sorted(
+        [("1", "a", None), ("2", None, None), ("3", "5", True), ("4", "d", None),
+         ("5", "e", None), ("55", None, None)], key=repr
+    )
+    some = read_raw_parts(spark, path, "2026-05-02", "2026-05-03")
+    assert sorted(p.schema["k"].dataType.simpleString() for p in some) == ["bigint", "string"]
+    listed = read_raw_parts(spark, path, days=["2026-05-04", "2026-05-01", "2030-01-01"])
+    assert [rows_of(p.select("k")) for p in listed] == [[(1,), (4,)]]
+    assert [p.count() for p in read_raw_parts(spark, path, "2031-01-01", "2031-01-02")] == [0]
+
+
+def test_days_that_agree_are_one_scan_and_one_job(spark, roots):  # noqa: F811
+    raw, out, ledger, _ = roots
+    write_raw(spark, raw, [raw_day(k, k) for k in range(1, 8)])
+    path = conforming.table_path(raw, 1)
+    spark.sparkContext.setJobGroup("parts", "parts")
+    assert len(read_raw_parts(spark, path, "2026-05-02", "2026-05-06")) == 1
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("parts")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(jobs) <= 1
+
+
+def test_drifting_days_are_conformed_to_the_declared_types(spark, roots):  # noqa: F811
+    raw, out, ledger, _ = roots
+    write_raw(spark, raw, [raw_day(1, 1), raw_day(2, 2, v="bad")])
+    number = spark.createDataFrame(
+        [(3, 7, "2026-05-03T10:00:00Z", 2.5, "2026-05-03")],
+        "k long, AccountId int, LocalDateTime string, v double, date string",
+    )
+    path = conforming.table_path(raw, 1)
+    number.write.mode("append").partitionBy("date").parquet(path)
+    report = conforming.run(spark, raw, out, ledger, [SPEC])[1]
+    assert (report.rows, report.rejected) == (3, 2)
+    held = read_layer(spark, conforming.table_path(out, 1))
+    assert dict(held.dtypes)["k"] == "int" and dict(held.dtypes)["v"] == "double"
+    assert rows_of(held.select("k", "v", "AccountId", "HouseIdSet")) == sorted(
+        [(1, 1.5, "1", "[12]"), (2, None, "1", "[12]"), (3, 2.5, "7", None)], key=repr
+    )
+    assert all("date=" in r[0] for r in held.select("source_file_path").collect())
+
+
+# -- local days --------------------------------------------------------------
+
+
+def test_a_stale_note_is_not_believed_where_directory_times_are_constant(spark, roots):  # noqa: F811
+    raw, out, ledger, _ = roots
+    write_raw(spark, raw, [raw_day(1, 1), raw_day(2, 2), raw_day(3, 3, at="2026-05-01T10:00:00Z")])
+    conforming.run(spark, raw, out, ledger, [SPEC])
+    path = conforming.table_path(out, 1)
+
+    def holding():
+        for directory in glob.glob(f"{path}/*/*/PartitionDate=*"):
+            os.utime(directory, (0, 0))
+        return partitions_holding(spark, path, "2026-05-01", "2026-05-01")
+
+    assert holding() == ["2026-05-01", "2026-05-03"]
+    # A writer that notes nothing puts a late row of the first into the second day.
+    late = read_layer(spark, path, "2026-05-02", "2026-05-02").withColumn(
+        "LocalDateTime", F.lit("2026-05-01 10:00:00").cast("timestamp")
+    )
+    replace_partitions(late.checkpoint(), path)
+    assert holding() == ["2026-05-01", "2026-05-02", "2026-05-03"]
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "merge"])
+def test_local_days_are_seen_in_the_write(spark, roots, mode):  # noqa: F811
+    """No job reads what has just been written."""
+    raw, out, ledger, _ = roots
+    rows = [raw_day(1, 1), raw_day(2, 2, at="2026-05-03T00:10:00Z"), raw_day(3, 2), raw_day(4, 4, at="x")]
+    write_raw(spark, raw, rows[:2])
+    conforming.run(spark, raw, out, ledger, [SPEC], write_mode=mode)
+    write_raw(spark, raw, rows[2:])
+    report = conforming.run(spark, raw, out, ledger, [SPEC], write_mode=mode)[1]
+    assert report.local_days == (
+        ("2026-05-01", "2026-05-01", "2026-05-01"),
+        ("2026-05-02", "2026-05-02", "2026-05-03"),
+        ("2026-05-04", None, None),
+    )
+    path = conforming.table_path(out, 1)
+    assert partitions_holding(spark, path, "2026-05-03", "2026-05-03") == ["2026-05-02"]
+    assert partitions_holding(spark, path, "2026-05-04", None) == []

@@ -12,7 +12,6 @@ from tierflow.sinks.append import append_to_path
 from tierflow.sinks.partitions import distinct_days, publish, replace_partitions
 from tierflow.sinks.scratch import scratch_path, scratch_root
 from tierflow.sinks.upsert import upsert
-from tierflow.sinks.swap import finish_swap
 from tierflow.sources.scans import (
     dataset_exists,
     known_schema,
@@ -219,29 +218,6 @@ def test_schema_is_noted_and_no_footer_read_before_the_action(spark, path):
     assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
 
 
-def test_an_interrupted_swap_is_finished_by_the_next_run(spark, path, monkeypatch):
-    upsert(layer(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3)]), path, KEYS)
-    from tierflow.sinks import swap
-
-    def die(*_):
-        raise KeyboardInterrupt
-
-    monkeypatch.setattr(swap, "finish_swap", die)
-    with pytest.raises(KeyboardInterrupt):
-        upsert(layer(spark, [(1, "A", 1), (4, "D", 2)]), path, KEYS)
-    monkeypatch.undo()
-    # The note is there; the first day has been moved before the driver died.
-    note = swap.read_note(spark, f"{path}/{swap.SWAP_NOTE}")
-    assert len(note["days"]) == 2
-    day = note["days"][0]
-    for name in glob.glob(f"{path}/{day}/*.parquet"):
-        open(name, "wb").close()  # a half-deleted target does not matter
-    assert finish_swap(spark, path) and not finish_swap(spark, path)
-    assert content(spark, path, "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
-    upsert(layer(spark, [(5, "E", 1)]), path, KEYS)
-    assert len(content(spark, path)) == 5
-
-
 def test_upsert_reads_its_source_once(spark, path):
     upsert(layer(spark, [(1, "a", 1)]), path, KEYS)
     seen = spark.sparkContext.accumulator(0)

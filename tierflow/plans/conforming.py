@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tierflow.functions.days import Day, in_days, in_window, iso
 from tierflow.functions.parsing import EVENT_TIME_CANDIDATES
+from tierflow.operators.daily import local_day
 from tierflow.operators.conform import (
     REJECTED,
     conform,
@@ -30,7 +31,6 @@ from tierflow.plans.ledger import (
 from tierflow.plans.local_days import note_local_days
 from tierflow.plans.verify import Reports, verify_outputs
 from tierflow.sinks.partitions import WriteReport, replace_partitions
-from tierflow.sinks.swap import finish_swap
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.declared import TableSpec
 from tierflow.sources.scans import (
@@ -39,7 +39,9 @@ from tierflow.sources.scans import (
     literal_rows,
     partition_inventory,
     read_raw,
+    read_raw_parts,
 )
+from tierflow.sources.types import united
 
 _WINDOWS = T.StructType(
     [
@@ -71,17 +73,27 @@ def conformed_rows(
     Where a row's day is that of its directory, the window prunes directories.
     Otherwise it is on the parsed day of all rows, wherever their files lie: a
     day is then whole, and no row outside the window can replace its own day.
+    Files whose types differ are read apart, conformed and united.
     """
     by_directory = dated_by_directory(spark, raw_path)
-    raw = read_raw(spark, raw_path, *((first, last, days) if by_directory else ()))
+    window = (first, last, days) if by_directory else ()
+    rows = united(
+        [
+            _conformed_part(part, spec, as_of)
+            for part in read_raw_parts(spark, raw_path, *window)
+        ]
+    )
+    if by_directory:
+        return rows
+    if days is not None:
+        return rows.filter(in_days("PartitionDate", days))
+    return rows.filter(in_window("PartitionDate", first, last))
+
+
+def _conformed_part(
+    raw: DataFrame, spec: TableSpec, as_of: datetime | None
+) -> DataFrame:
     rows = with_partition_day(conform(raw, spec.columns, rejects=REJECTED))
-    if not by_directory:
-        wanted = (
-            in_days("PartitionDate", days)
-            if days is not None
-            else in_window("PartitionDate", first, last)
-        )
-        rows = rows.filter(wanted)
     return with_lineage(rows, spec.table_id, spec.source_system, as_of)
 
 
@@ -107,15 +119,15 @@ def load_table(
     raw = table_path(raw_root, spec.table_id)
     rows = conformed_rows(spark, raw, spec, first, last, days, as_of)
     out = table_path(out_root, spec.table_id)
+    timed = any(name in rows.columns for name in EVENT_TIME_CANDIDATES)
+    options = {"rejected": REJECTED, "local_day": local_day if timed else None}
     if write_mode == "merge":
-        report = upsert(rows, out, spec.merge_keys, rejected=REJECTED)
+        report = upsert(rows, out, spec.merge_keys, **options)
     else:
-        finish_swap(spark, out)
         # Rows from daily directories lie by day already and need no shuffle.
         gather = not dated_by_directory(spark, raw)
-        report = replace_partitions(rows, out, rejected=REJECTED, gather=gather)
-    if any(name in rows.columns for name in EVENT_TIME_CANDIDATES):
-        note_local_days(spark, out, report.days)
+        report = replace_partitions(rows, out, gather=gather, **options)
+    note_local_days(spark, out, report.local_days)
     return report
 
 

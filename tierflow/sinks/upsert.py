@@ -14,16 +14,22 @@ distinct target keys, where no side can hold a hot key any more.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.days import in_days
-from tierflow.sinks.partitions import CONFORMED_LAYOUT, WriteReport, replace_partitions
+from tierflow.sinks.partitions import (
+    CONFORMED_LAYOUT,
+    WriteReport,
+    replace_partitions,
+    swap_days,
+)
 from tierflow.sinks.scratch import drop_path, scratch_path, scratch_root
-from tierflow.sinks.swap import finish_swap, swap_days
+from tierflow.sinks.swap import finish_swap
 from tierflow.sources.scans import dataset_exists, read_layer, require_columns
 
 _MATCHED = "__matched"
@@ -76,11 +82,13 @@ def upsert(
     merge_keys: list[str] | tuple[str, ...],
     layout: tuple[str, ...] = CONFORMED_LAYOUT,
     rejected: str | None = None,
+    local_day: Callable[[DataFrame], Column] | None = None,
 ) -> WriteReport:
     """Upsert ``source`` into the dataset at ``path``; the first write creates it.
 
     The report counts the source rows, as the caller's ledger expects.
-    ``rejected`` names a per-row count that is summed and not written.
+    ``rejected`` names a per-row count that is summed and not written; ``local_day`` is
+    as in ``replace_partitions``, over the days as they are afterwards.
     """
     if not merge_keys:
         raise ValueError("an upsert needs merge keys; replace the partitions instead")
@@ -88,14 +96,14 @@ def upsert(
     spark = source.sparkSession
     finish_swap(spark, path)
     if not dataset_exists(spark, path):
-        return replace_partitions(source, path, layout, rejected)
+        return replace_partitions(source, path, layout, rejected, local_day=local_day)
 
     # The source may be a long chain; its rows are made once and used from there.
     kept = scratch_path(spark, "upsert-source")
     source.write.parquet(kept)
     source = spark.read.schema(source.schema).parquet(kept)
     try:
-        return _upsert_kept(source, path, list(merge_keys), layout, rejected)
+        return _upsert_kept(source, path, list(merge_keys), layout, rejected, local_day)
     finally:
         drop_path(spark, kept)
 
@@ -106,6 +114,7 @@ def _upsert_kept(
     merge_keys: list[str],
     layout: tuple[str, ...],
     rejected: str | None,
+    local_day: Callable[[DataFrame], Column] | None,
 ) -> WriteReport:
     spark = source.sparkSession
     day = layout[-1]
@@ -134,8 +143,10 @@ def _upsert_kept(
     merged = merge_rows(target, source, keys, layout)
     if repeats is not None:
         merged = merged.unionByName(repeats, allowMissingColumns=True)
-    report = swap_days(merged, path, layout)
-    return WriteReport(summary["rows"], days, report.seconds, summary["rejected"])
+    report = swap_days(merged, path, layout, local_day)
+    return WriteReport(
+        summary["rows"], days, report.seconds, summary["rejected"], report.local_days
+    )
 
 
 def _set_repeats_aside(
