@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import glob
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import rows_of
+from tests.conftest import plan_of, rows_of
 from tests.test_plans import SPEC, raw_day, roots, write_raw  # noqa: F401  (fixture)
 from tests.test_sinks import content, layer
+from tierflow.operators.matrix import matrix_wide
 from tierflow.plans import conforming
+from tierflow.plans.ledger import LEDGER_SCHEMA, done_days, read_ledger, record
 from tierflow.plans.local_days import fingerprints, partitions_holding
 from tierflow.plans.verify import verify_outputs
 from tierflow.sinks import partitions, swap
-from tierflow.sinks.partitions import replace_partitions
+from tierflow.sinks.append import compact_path
+from tierflow.sinks.partitions import publish, replace_partitions
 from tierflow.sinks.swap import finish_swap
 from tierflow.sinks.upsert import upsert
 from tierflow.sources.scans import (
@@ -306,3 +310,72 @@ def test_local_days_are_seen_in_the_write(spark, roots, mode):  # noqa: F811
     path = conforming.table_path(out, 1)
     assert partitions_holding(spark, path, "2026-05-03", "2026-05-03") == ["2026-05-02"]
     assert partitions_holding(spark, path, "2026-05-04", None) == []
+
+
+# -- ledger ------------------------------------------------------------------
+
+
+def logged(spark, ledger, numbers):
+    for n in numbers:
+        row = dict.fromkeys(LEDGER_SCHEMA.names) | {
+            "run_id": f"run-{n}", "dataset": "table_1", "table_id": 1, "status": "SUCCESS",
+            "partition_dates": f"2026-05-{n % 28 + 1:02d}",
+        }
+        record(spark, ledger, [row])
+
+
+def test_many_runs_leave_few_files_and_all_rows(spark, path, monkeypatch):
+    monkeypatch.setattr("tierflow.plans.ledger.MOST_FILES", 6)
+    logged(spark, path, range(40))
+    assert len(glob.glob(f"{path}/*/*.parquet")) <= 7
+    ledger = read_ledger(spark, path)
+    assert sorted(r.run_id for r in ledger.collect()) == sorted(f"run-{n}" for n in range(40))
+    assert done_days(ledger).count() == 28
+
+
+def test_appends_at_the_same_time_survive_compaction(spark, path, monkeypatch):
+    monkeypatch.setattr("tierflow.plans.ledger.MOST_FILES", 2)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: logged(spark, path, range(10 * k, 10 * k + 10)), range(4)))
+    rows = [r.run_id for r in read_ledger(spark, path).collect()]
+    assert sorted(rows) == sorted(f"run-{n}" for n in range(40))
+
+
+def test_a_compaction_that_dies_leaves_every_row_once(spark, path, monkeypatch):
+    logged(spark, path, range(5))
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr("tierflow.sinks.append.delete", die)
+    with pytest.raises(KeyboardInterrupt):
+        compact_path(spark, path, 3)
+    monkeypatch.undo()
+    assert read_ledger(spark, path).count() == 5
+    os.makedirs(f"{path}/unfinished/_temporary")
+    assert compact_path(spark, path, 3) and read_ledger(spark, path).count() == 5
+    assert os.path.exists(f"{path}/unfinished")
+    assert len(glob.glob(f"{path}/*/*.parquet")) == 1
+
+
+# -- matrices ----------------------------------------------------------------
+
+
+def test_the_wide_matrix_is_shuffled_once_for_pivot_and_write(spark, path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    long = spark.range(0, 4000, 1, 4).selectExpr(
+        "date_add(date'2026-05-01', int(if(id % 2 = 0, 0, id % 5))) as Date",
+        "cast(id % 97 as string) as AccountId", "'s' as SiteId", "'h' as HouseIdSet", "'b' as beltids",
+        "int(id div 97) as linenmbr", "int(id % 7) as position_bin", "1.5D as eggsincrease_sum",
+    )
+    wide = matrix_wide(long, {"2026-05-01": 5})
+    text = plan_of(wide)
+    assert text.count("Exchange") == 1
+    assert text.index("SortAggregate" if "SortAggregate" in text else "HashAggregate") < text.index("Exchange")
+    report = publish(wide, path, gather=False)
+    files = {d: len(glob.glob(f"{path}/*/*/Date=2026-05-0{d}/*.parquet")) for d in (1, 2, 4)}
+    assert 3 <= files[1] <= 5 and files[2] == files[4] == 1
+    assert report.rows == matrix_wide(long).count()
+    bins = [c for c in wide.columns if c.startswith("pos_")]
+    assert rows_of(wide.select("AccountId", *bins)) == rows_of(matrix_wide(long).select("AccountId", *bins))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,17 +39,32 @@ def matrix_long(telemetry: DataFrame) -> DataFrame:
     )
 
 
-def matrix_wide(long: DataFrame) -> DataFrame:
+_PART = "__part"
+
+
+def matrix_wide(long: DataFrame, parts: Mapping[str, int] | None = None) -> DataFrame:
     """One row per key with a column for each of the 100 bins, NULL where empty.
 
     Takes the long matrix: it holds at most one row per key and bin, so a key
     never gathers more than 100 rows.  Those narrow rows are brought together
     by key once; without that the pivot would shuffle partial rows of 100
     columns each.  The bins are stated, so no job looks for them.
+
+    With ``parts`` the rows of a day come together in so many tasks, one where the day is
+    not named: the wide rows can then be written by day as they are.
     """
+    if parts is None:
+        gathered, keys = long.repartition(*MATRIX_KEYS), MATRIX_KEYS
+    else:
+        many = F.lit(1)
+        if parts:
+            named = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
+            many = F.coalesce(F.try_element_at(named, F.col("Date").cast("string")), many)
+        part = F.pmod(F.xxhash64(*MATRIX_KEYS[1:]), many.cast("bigint"))
+        gathered = long.withColumn(_PART, part).repartition("Date", _PART)
+        keys = ("Date", _PART, *MATRIX_KEYS[1:])
     pivoted = (
-        long.repartition(*MATRIX_KEYS)
-        .groupBy(*MATRIX_KEYS)
+        gathered.groupBy(*keys)
         .pivot("position_bin", list(range(BIN_COUNT)))
         .agg(F.sum("eggsincrease_sum"))
     )

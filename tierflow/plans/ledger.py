@@ -11,12 +11,14 @@ from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.functions.days import Day, iso, listed_days
-from tierflow.sinks.append import append_to_path, append_to_table
+from tierflow.sinks.append import append_to_path, append_to_table, compact_path
 from tierflow.sinks.partitions import WriteReport
 from tierflow.sources.scans import dataset_exists, literal_rows
 
@@ -84,9 +86,20 @@ def ledger_row(
     }
 
 
+#: Files of a ledger path that are left as they are.
+MOST_FILES = 64
+
+
 def record(spark: SparkSession, ledger: str, rows: list[dict]) -> None:
+    """Append rows; now and then a ledger path is compacted."""
     frame = literal_rows(spark, rows, LEDGER_SCHEMA)
-    append_to_path(frame, ledger) if is_path(ledger) else append_to_table(frame, ledger)
+    if not is_path(ledger):
+        append_to_table(frame, ledger)
+        return
+    append_to_path(frame, ledger)
+    # The rows are logged.  A compaction that meets another one is left to the next write.
+    with suppress(AnalysisException, Py4JJavaError):
+        compact_path(spark, ledger, MOST_FILES)
 
 
 def is_path(ledger: str) -> bool:
@@ -127,7 +140,8 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     if is_path(ledger):
         if dataset_exists(spark, ledger):
             reader = spark.read.schema(LEDGER_SCHEMA)
-            return reader.option("recursiveFileLookup", True).parquet(ledger)
+            held = reader.option("recursiveFileLookup", True).parquet(ledger)
+            return held.dropDuplicates()
     elif spark.catalog.tableExists(ledger):
         return spark.read.table(ledger)
     return literal_rows(spark, [], LEDGER_SCHEMA)

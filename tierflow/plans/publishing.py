@@ -19,7 +19,7 @@ from tierflow.plans.local_days import partitions_holding
 from tierflow.plans.verify import Reports, verify_outputs
 from tierflow.sinks.partitions import WriteReport, publish
 from tierflow.sources.declared import TableSpec
-from tierflow.sources.scans import read_layer
+from tierflow.sources.scans import partition_inventory, read_layer
 
 # Names of the published datasets, and the table with positions.
 DAILY_DATASET = "dashboard_daily_stats_table_{}"
@@ -27,6 +27,9 @@ LONG_DATASET = "table_1_matrix_long"
 WIDE_DATASET = "table_1_matrix_wide"
 MATRIX_TABLE_ID = 1
 
+#: Bytes of a day's long matrix that one task pivots and writes.
+PART_BYTES = 64 << 20
+
 
 def daily_rows(
     spark: SparkSession,
@@ -60,7 +63,11 @@ def publish_matrices(
     context: RunContext,
     table_id: int = MATRIX_TABLE_ID,
 ) -> dict[str, WriteReport]:
-    """Long matrix from telemetry, wide matrix from the long one just written."""
+    """Long matrix from telemetry, wide matrix from the long one just written.
+
+    The long rows are shuffled once more, by day and part of a day, for both the pivot and
+    the write; how many parts a day has follows from its files.
+    """
     long_path = f"{out_root}/{LONG_DATASET}"
 
     def long() -> WriteReport:
@@ -76,7 +83,8 @@ def publish_matrices(
             in_days("Date", report.days)
         )
         dated = written.withColumn("Date", F.col("Date").cast("date"))
-        return publish(matrix_wide(dated), f"{out_root}/{WIDE_DATASET}")
+        wide = matrix_wide(dated, _parts(spark, long_path, report.days))
+        return publish(wide, f"{out_root}/{WIDE_DATASET}", gather=False)
 
     long_report = logged_step(
         spark, context, LONG_DATASET, table_id, "overwrite", long
@@ -92,6 +100,14 @@ def publish_matrices(
     return {LONG_DATASET: long_report, WIDE_DATASET: wide_report}
 
 
+def _parts(spark: SparkSession, path: str, days: Iterable[str]) -> dict[str, int]:
+    """Days that one task should not pivot alone, with their number of parts."""
+    large = partition_inventory(spark, path, "Date").filter(
+        in_days("day", days) & (F.col("bytes") > PART_BYTES)
+    )
+    return {r.day: -(-r.bytes // PART_BYTES) for r in large.collect()}
+
+
 def run(
     spark: SparkSession,
     conformed_root: str,

@@ -176,10 +176,12 @@ def with_published_layout(frame: DataFrame) -> DataFrame:
     )
 
 
-def publish(frame: DataFrame, path: str, fmt: str = "parquet") -> WriteReport:
+def publish(
+    frame: DataFrame, path: str, fmt: str = "parquet", gather: bool = True
+) -> WriteReport:
     """Write a published dataset: layout columns, then partition replacement."""
     return replace_partitions(
-        with_published_layout(frame), path, PUBLISHED_LAYOUT, fmt=fmt
+        with_published_layout(frame), path, PUBLISHED_LAYOUT, gather=gather, fmt=fmt
     )
 
 

@@ -201,7 +201,7 @@ def _agreeing(
         if "CANNOT_MERGE" not in str(error.java_exception):
             raise
         if len(paths) == 1:
-            paths = _children(spark, paths[0])
+            paths = children(spark, paths[0])
             if len(paths) < 2:
                 raise
     for some in _alike(spark, root, paths):
@@ -229,7 +229,8 @@ def _alike(spark: SparkSession, root: str, paths: list[str]) -> list[list[str]]:
     return list(groups.values()) if len(groups) > 1 else [paths[:half], paths[half:]]
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a directory and is not hidden."""
     target, files = _located(spark, path)
     listed = [status.getPath() for status in files.listStatus(target)]
     return sorted(
