@@ -290,3 +290,52 @@ def test_near_copies_of_short_lines_are_paragraphs(documents):
     assert sorted((r.doc_id, r.line, r.words) for r in found) == [
         (1, 0, 8), (1, 1, 8), (1, 2, 8), (1, 3, 1)
     ]
+
+
+def test_a_passage_stays_where_its_keeper_is_not_removed(documents):
+    """Document 2 goes as a near copy of 1, so its end is kept by the third."""
+    rng = random.Random(12)
+    a, x, b, c = (prose(rng, n) for n in (300, 30, 120, 120))
+    rows = [(1, " ".join(a)), (2, " ".join(a + x)), (3, " ".join(b + x + c))]
+    found = substring_dedup.removals(documents(rows)).collect()
+    assert [(r.doc_id, r.line, r.words, r.keep_doc_id) for r in found] == [(2, 0, 330, 1)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_keepers_name_text_that_stays(documents, seed):
+    """No removed line is named as the keeper's, and every passage is left somewhere."""
+    rng = random.Random(seed)
+    passages = [prose(rng, rng.randint(26, 90)) for _ in range(5)]
+    rows = []
+    for i in range(40):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            own = prose(rng, rng.randint(5, 150))
+            at = rng.randint(0, len(own))
+            inside = rng.choice(passages) if rng.random() < 0.5 else []
+            lines.append(" ".join(own[:at] + inside + own[at:]))
+        if rng.random() < 0.3:
+            lines.append(rng.choice(rows)[1].split("\n")[0] if rows else "x")
+        rows.append((i, "\n".join(lines)))
+    found = substring_dedup.removals(documents(rows)).collect()
+    left = {i: [line.split() for line in body.split("\n")] for i, body in rows}
+    gone = {(r.doc_id, r.line) for r in found if r.words == len(left[r.doc_id][r.line])}
+    for r in found:
+        assert (r.keep_doc_id, r.keep_line) not in gone
+        words = left[r.doc_id][r.line]
+        words[r.first_word : r.first_word + r.words] = [None] * r.words
+    kept = [" ".join(w or "|" for line in lines for w in line) for lines in left.values()]
+    for passage in passages:
+        assert any(" ".join(passage) in body for body in kept) or not any(
+            " ".join(passage) in body.replace("\n", " ") for _, body in rows
+        )
+
+
+def test_substrings_of_edges_long_texts_and_repeated_rows(documents):
+    rng = random.Random(14)
+    long = prose(rng, 120_000)
+    copied = " ".join(long[70_000:70_200])
+    rows = [*EDGES, (60, " ".join(long)), (61, text(rng, 90) + " " + copied), (61, copied), (62, "w " * 9000)]
+    found = substring_dedup.removals(documents(rows)).collect()
+    assert {(r.doc_id, r.keep_doc_id) for r in found} == {(61, 60)}
+    assert sorted(r.words for r in found if r.words >= 25)[-1] == 200

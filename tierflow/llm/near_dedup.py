@@ -4,7 +4,8 @@ Every text has a MinHash signature over its word shingles.  Texts that agree on
 of the signature are candidates.  Signatures of a candidate pair are compared batch by
 batch: after each batch the posterior of the similarity given the matches so far tells
 the chance that it reaches the threshold, and once that falls below ``miss`` the pair is
-dropped.  What survives is verified on the full shingle sets.  The classes are the
+dropped.  What survives is verified on the full shingle sets, across components of a
+band (see below) on the sets of 64-bit hashes of the shingles.  The classes are the
 components of the verified links.
 
 A band that many texts share is worked off in two steps, neither of which emits all its
@@ -22,7 +23,7 @@ columns are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import comb
 
@@ -179,7 +180,7 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
 def linked_components(
     ws: Workspace,
     marks: DataFrame,
-    texts: DataFrame,
+    texts_of: Callable[[DataFrame], DataFrame],
     rows: int = ROWS,
     bands: int = BANDS,
     shingle: int = SHINGLE,
@@ -188,7 +189,8 @@ def linked_components(
 ) -> DataFrame:
     """``(id, component)`` of all ids with a link, the component being its least id.
 
-    ``marks(id, bands, signature)`` and ``texts(id, text)`` describe the same texts.
+    ``marks(id, bands, signature)`` describes the texts, and ``texts_of`` gives
+    ``(id, text)`` of the ids in the frame it gets.
     """
     tuning = Tuning(rows, bands, shingle, percent, miss)
     banded = marks.select("id", F.explode("bands").alias("band"))
@@ -207,9 +209,11 @@ def linked_components(
         F.col("id").alias("a"), F.col("first").alias("b")
     )
     # Texts without a shared band are left behind here.
-    wanted = held.select("id").distinct()
-    texts = texts.join(by_shuffle(wanted), "id", "left_semi").select("id", "text")
-    texts = ws.keep(texts)
+    wanted = ws.keep(held.select("id").distinct())
+    texts = ws.keep(texts_of(wanted))
+    marks = ws.keep(
+        marks.select("id", "signature").join(by_shuffle(wanted), "id", "left_semi")
+    )
     candidates = _pruned(ws, stars.distinct(), marks, tuning)
     links = verified(ws, candidates, texts, shingle, percent)
     # A text's least linked id stands for its component: equal ones mean the same.
@@ -219,7 +223,7 @@ def linked_components(
     # Bands that still hold several of them, other than pairs already compared.
     labelled = ws.keep(
         held.filter("members > 2")
-        .join(nearest, "id", "left")
+        .join(by_shuffle(nearest), "id", "left")
         .select("band", "id", "first", F.coalesce("component", "id").alias("component"))
     )
     mixed = ws.keep(
@@ -228,7 +232,9 @@ def linked_components(
         .filter("low < high")
         .select("band")
     )
-    late = _across(ws, labelled.join(mixed, "band"), texts, tuning)
+    ws.drop(held, shared, wanted, marks, candidates, nearest)
+    late = _across(ws, labelled.join(by_shuffle(mixed), "band"), texts, tuning)
+    ws.drop(texts, labelled, mixed)
     return components(ws, links.unionByName(late))
 
 
@@ -427,12 +433,16 @@ def near_dedup(
     texts = documents.select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
     )
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        return texts.join(by_shuffle(wanted), "id", "left_semi")
+
     classes = ws.keep(
-        linked_components(ws, nodes, texts, rows, bands, shingle, percent, miss)
+        linked_components(ws, nodes, texts_of, rows, bands, shingle, percent, miss)
     )
     return (
         marks.select(F.col("doc_id").alias("id"), "n_shingles")
-        .join(classes, "id", "left")
+        .join(by_shuffle(classes), "id", "left")
         .select(
             F.col("id").alias("doc_id"),
             "n_shingles",

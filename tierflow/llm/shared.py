@@ -15,6 +15,8 @@ from tierflow.sinks.scratch import scratch_path
 
 #: Documents of one Arrow batch are worked on in slices of about this many bytes.
 SLICE_BYTES = 16 << 20
+#: Whether shuffle files are deleted as their execution ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Workspace:
@@ -31,10 +33,15 @@ class Workspace:
         self._count = 0
 
     def keep(self, frame: DataFrame) -> DataFrame:
-        """Write ``frame`` and read it back."""
+        """Write ``frame`` and read it back; its shuffle files go once it is written."""
         self._count += 1
         path = f"{self.root}/{self._count:03d}"
-        frame.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            frame.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         kept = self.spark.read.schema(frame.schema).parquet(path)
         self._paths.append((kept, path))
         return kept
@@ -111,7 +118,7 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
             both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         )
         large = ws.keep(
-            both.join(least, "u")
+            both.join(by_shuffle(least), "u")
             .filter("v > u and v <> m")
             .select(
                 F.col("v").alias("hi"),
@@ -121,7 +128,7 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
         )
         lower = ws.keep(large.groupBy("hi").agg(F.min("lo").alias("m")))
         following = ws.keep(
-            large.join(lower, "hi")
+            large.join(by_shuffle(lower), "hi")
             .filter("lo <> m")
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"), F.lit(True))
             .union(lower.select("hi", "m", F.lit(False)))
