@@ -93,8 +93,10 @@ def variants(rng, base, count, edits):
         yield " ".join(made)
 
 
-def test_near_dedup_equals_brute_force(documents, monkeypatch):
+@pytest.mark.parametrize("across", ["_across", "_across_in_bands"])
+def test_near_dedup_equals_brute_force(documents, monkeypatch, across):
     monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(near_dedup, "_across", getattr(near_dedup, across))
     rng = random.Random(2)
     rows = list(EDGES)
     for base in (prose(rng, 120), prose(rng, 200)):
@@ -339,3 +341,21 @@ def test_substrings_of_edges_long_texts_and_repeated_rows(documents):
     found = substring_dedup.removals(documents(rows)).collect()
     assert {(r.doc_id, r.keep_doc_id) for r in found} == {(61, 60)}
     assert sorted(r.words for r in found if r.words >= 25)[-1] == 200
+
+
+def test_paragraphs_are_clustered_as_by_brute_force(documents, monkeypatch):
+    """Every paragraph is one line; its class is that of near copies."""
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 8)
+    rng = random.Random(21)
+    lines = []
+    for base in (prose(rng, 60), prose(rng, 90)):
+        lines += list(variants(rng, base, 30, 4))
+    shared = prose(rng, 30)
+    lines += [" ".join(shared + prose(rng, 40)) for _ in range(30)]
+    lines += [text(rng, 60, 60) for _ in range(20)] + lines[:10]
+    rng.shuffle(lines)
+    rows = list(enumerate(lines))
+    classes = {i: c for i, _, c in near_by_brute_force(rows)}
+    found = substring_dedup.removals(documents(rows)).collect()
+    whole = {r.doc_id: r.keep_doc_id for r in found if r.words == len(lines[r.doc_id].split())}
+    assert whole == {i: c for i, c in classes.items() if i != c}

@@ -29,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.shared import (
@@ -186,11 +186,14 @@ def linked_components(
     shingle: int = SHINGLE,
     percent: int = PERCENT,
     miss: float = MISS,
+    by_band: bool = False,
 ) -> DataFrame:
     """``(id, component)`` of all ids with a link, the component being its least id.
 
     ``marks(id, bands, signature)`` describes the texts, and ``texts_of`` gives
-    ``(id, text)`` of the ids in the frame it gets.
+    ``(id, text)`` of the ids in the frame it gets.  ``by_band`` suits short texts: a text
+    is then copied for each of its bands that is compared across components, which is
+    linear in the bands' members; else for each other block that its own one meets.
     """
     tuning = Tuning(rows, bands, shingle, percent, miss)
     banded = marks.select("id", F.explode("bands").alias("band"))
@@ -233,7 +236,8 @@ def linked_components(
         .select("band")
     )
     ws.drop(held, shared, wanted, marks, candidates, nearest)
-    late = _across(ws, labelled.join(by_shuffle(mixed), "band"), texts, tuning)
+    across = _across_in_bands if by_band else _across
+    late = across(ws, labelled.join(by_shuffle(mixed), "band"), texts, tuning)
     ws.drop(texts, labelled, mixed)
     return components(ws, links.unionByName(late))
 
@@ -284,6 +288,84 @@ def _pruned(
     return ws.keep(found.distinct())
 
 
+def _sets(texts: DataFrame, tuning: Tuning) -> DataFrame:
+    """Columns of ``texts(id, text, ...)`` but the text, bands, signature and hashed
+    shingles."""
+
+    def work(ids: pa.Array, given: pa.Array) -> list[pa.Array]:
+        hashed, begins = hashed_shingles(given, tuning.shingle)
+        sets = [np.unique(hashed[x:y]) for x, y in zip(begins, begins[1:])]
+        ends = np.concatenate([[0], np.cumsum([len(one) for one in sets])])
+        flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+        _, keys, signature = marked(hashed, begins, tuning.rows, tuning.bands)
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        return [keys, signature, listed]
+
+    return annotated(
+        texts,
+        work,
+        "bands array<bigint>, signature binary, shingles array<bigint>",
+        id_column="id",
+    ).drop("text")
+
+
+def _blocks() -> Column:
+    """How many blocks of bounded size the grouped sets fill."""
+    return F.ceil(
+        F.greatest(
+            F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("held") / BLOCK_SHINGLES
+        )
+    ).alias("blocks")
+
+
+def _across_in_bands(
+    ws: Workspace, members: DataFrame, texts: DataFrame, tuning: Tuning
+) -> DataFrame:
+    """As ``_across``, the blocks being those of each band by itself.
+
+    Every two blocks of a band meet in one task, and a pair is compared in the first of
+    the bands that it shares.
+    """
+    members = ws.keep(members.select("band", "id", "component"))
+    wanted = members.select("id").distinct()
+    sets = ws.keep(_sets(texts.join(by_shuffle(wanted), "id", "left_semi"), tuning))
+    sized = members.join(
+        by_shuffle(sets.select("id", F.size("shingles").alias("held"))), "id"
+    )
+    blocks = sized.groupBy("band").agg(_blocks())
+    placed = ws.keep(members.join(by_shuffle(blocks), "band"))
+    part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    arrived = (
+        placed.withColumn("part", part)
+        .withColumn("other", other)
+        .join(by_shuffle(sets), "id")
+    )
+    least, batch, percent = tuning.least, tuning.batch, tuning.percent
+
+    def compare(table: pa.Table) -> pa.Table:
+        return compared_blocks(table, least, batch, percent)
+
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    links = (
+        arrived.select(
+            "band",
+            low.alias("low"),
+            high.alias("high"),
+            (F.col("part") == low).alias("in_low"),
+            (F.col("part") == high).alias("in_high"),
+            "id",
+            "component",
+            "bands",
+            "signature",
+            "shingles",
+        )
+        .groupBy("band", "low", "high")
+        .applyInArrow(compare, "a long, b long")
+    )
+    return ws.keep(links.distinct())
+
+
 def _across(
     ws: Workspace, members: DataFrame, texts: DataFrame, tuning: Tuning
 ) -> DataFrame:
@@ -300,31 +382,9 @@ def _across(
         )
     )
 
-    def work(ids: pa.Array, given: pa.Array) -> list[pa.Array]:
-        hashed, begins = hashed_shingles(given, tuning.shingle)
-        sets = [np.unique(hashed[x:y]) for x, y in zip(begins, begins[1:])]
-        ends = np.concatenate([[0], np.cumsum([len(one) for one in sets])])
-        flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
-        _, keys, signature = marked(hashed, begins, tuning.rows, tuning.bands)
-        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-        return [keys, signature, listed]
-
-    sets = annotated(
-        texts.join(by_shuffle(homes), "id"),
-        work,
-        "bands array<bigint>, signature binary, shingles array<bigint>",
-        id_column="id",
-    )
-    sets = ws.keep(sets.drop("text"))
+    sets = ws.keep(_sets(texts.join(by_shuffle(homes), "id"), tuning))
     sizes = ws.keep(
-        sets.groupBy("home").agg(
-            F.ceil(
-                F.greatest(
-                    F.count(F.lit(1)) / BLOCK_MEMBERS,
-                    F.sum(F.size("shingles")) / BLOCK_SHINGLES,
-                )
-            ).alias("blocks")
-        )
+        sets.withColumn("held", F.size("shingles")).groupBy("home").agg(_blocks())
     )
     part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = sets.join(sizes, "home").withColumn(
@@ -367,7 +427,11 @@ def _across(
 def compared_blocks(
     table: pa.Table, least: list[int], batch: int, percent: int
 ) -> pa.Table:
-    """Verified links between two blocks, no more than it takes to join components."""
+    """Verified links between two blocks, no more than it takes to join components.
+
+    With a ``band`` the pairs are those of which it is the first shared band.
+    """
+    band = table.column("band")[0].as_py() if "band" in table.column_names else None
     ids = table.column("id").to_numpy()
     component = table.column("component").to_numpy().copy()
     bands = table.column("bands").combine_chunks().flatten().to_numpy()
@@ -385,7 +449,11 @@ def compared_blocks(
     for i in left.tolist():
         j = right[right > i] if same_block else right
         j = j[component[j] != component[i]]
-        j = j[(bands[j] == bands[i]).any(axis=1)]
+        same = bands[j] == bands[i]
+        shares = same.any(axis=1)
+        if band is not None:
+            shares &= bands[i][same.argmax(axis=1)] == band
+        j = j[shares]
         if not len(j):
             continue
         own = np.broadcast_to(rows[i], (len(j), rows.shape[1]))

@@ -369,7 +369,9 @@ def _whole_lines(ws: Workspace, documents: DataFrame, min_words: int) -> DataFra
         at = at.join(by_shuffle(wanted), "id", "left_semi")
         return _paragraph_texts(documents, at, min_words)
 
-    classes = linked_components(ws, marks, texts_of, ROWS, BANDS, SHINGLE, PERCENT)
+    classes = linked_components(
+        ws, marks, texts_of, ROWS, BANDS, SHINGLE, PERCENT, by_band=True
+    )
     classes = ws.keep(classes)
     ws.drop(marks)
     named = ws.keep(
