@@ -107,7 +107,7 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
     candidates = rows.filter("body is not null")
     names = identities(ws, candidates.select("row", "body"))
     members = ws.keep(
-        candidates.select("row", "doc_id", "text_sha256").join(names, "row")
+        candidates.select("row", "doc_id", "text_sha256").join(by_shuffle(names), "row")
     )
     groups = ws.keep(
         members.groupBy("name").agg(
@@ -115,7 +115,7 @@ def exact_dedup(documents: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("group_size"),
         )
     )
-    grouped = members.join(groups, "name").select(
+    grouped = members.join(by_shuffle(groups), "name").select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",

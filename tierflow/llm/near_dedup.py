@@ -387,23 +387,23 @@ def _across(
         sets.withColumn("held", F.size("shingles")).groupBy("home").agg(_blocks())
     )
     part = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = sets.join(sizes, "home").withColumn(
+    placed = sets.join(by_shuffle(sizes), "home").withColumn(
         "block", F.struct("home", part.alias("part"))
     )
     present = ws.keep(
         members.select("band", "id")
-        .join(ws.keep(placed.select("id", "block")), "id")
+        .join(by_shuffle(ws.keep(placed.select("id", "block"))), "id")
         .select("band", "block")
         .distinct()
     )
     meeting = present.select("band", F.col("block").alias("low")).join(
-        present.select("band", F.col("block").alias("high")), "band"
+        by_shuffle(present.select("band", F.col("block").alias("high"))), "band"
     )
     tasks = ws.keep(meeting.filter("low <= high").select("low", "high").distinct())
     sides = tasks.select(F.col("low").alias("block"), "low", "high").union(
         tasks.filter("low <> high").select(F.col("high").alias("block"), "low", "high")
     )
-    arrived = placed.join(sides, "block")
+    arrived = placed.join(by_shuffle(sides), "block")
     least, batch, percent = tuning.least, tuning.batch, tuning.percent
 
     def compare(table: pa.Table) -> pa.Table:
