@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+from collections import Counter
+from itertools import combinations
 
 import pytest
 
@@ -138,28 +141,204 @@ def test_representatives_keep_the_columns(documents):
 # -- lines -------------------------------------------------------------------
 
 
+def links_between(later, earlier):
+    """Links of numbered lines, as the operator makes them, of one document to another."""
+    place, copies, seen, found = {}, Counter(earlier), Counter(), []
+    for j, line in enumerate(earlier):
+        place[line, seen[line]] = j
+        seen[line] += 1
+    seen.clear()
+    for i, line in enumerate(later):
+        if line in copies:
+            found.append((i, place[line, seen[line] % copies[line]]))
+        seen[line] += 1
+    return found
+
+
 @pytest.mark.parametrize(
-    ("a", "b", "want"),
+    ("later", "earlier", "want"),
     [
-        ("abc", "abc", [(0, 0), (1, 1), (2, 2)]),
-        ("xabcy", "pabcq", [(1, 1), (2, 2), (3, 3)]),
-        ("abc", "cba", 1),
-        ("aab", "ab", 2),
-        ("abab", "xaby", []),
+        ("abc", "abc", ["abc"]),
+        ("xabcy", "pabcq", ["abc"]),
+        ("abxcd", "abycd", ["ab", "cd"]),
+        ("xpypz", "qpr", ["p", "p"]),  # no line is an anchor by itself
+        ("cdab", "abcd", ["ab", "cd"]),  # a moved block
+        ("ababab", "ab", ["ab", "ab", "ab"]),
+        ("cba", "abc", ["a", "b", "c"]),
         ("", "abc", []),
     ],
 )
-def test_patience_alignment(a, b, want):
-    got = line_dedup.aligned(list(a), list(b))
-    assert all(a[i] == b[j] for i, j in got)
-    assert got == sorted(got) and len({i for i, _ in got}) == len({j for _, j in got})
-    assert got == want if isinstance(want, list) else len(got) == want
+def test_patience_alignment(later, earlier, want):
+    links = links_between(later, earlier)
+    blocks = line_dedup.aligned_blocks(links)
+    assert sorted(k for b in blocks for k in b) == list(range(len(links)))
+    assert sorted("".join(later[links[k][0]] for k in b) for b in blocks) == want
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_longest_orders_and_chains(seed):
+    rng = random.Random(seed)
+    values = [rng.randint(0, 12) for _ in range(rng.randint(0, 14))]
+    orders = [
+        c for n in range(len(values) + 1) for c in combinations(range(len(values)), n)
+        if all(values[a] < values[b] for a, b in zip(c, c[1:]))
+    ]
+    best = line_dedup.longest_order(values)
+    assert tuple(best) in orders and len(best) == max(map(len, orders))
+    chains = line_dedup.ascending_chains(values)
+    assert sorted(k for c in chains for k in c) == list(range(len(values)))
+    assert all(tuple(c) in orders for c in chains)
+    # As many chains as the longest stretch that never ascends.
+    falling = [1] * len(values)
+    for b in range(len(values)):
+        falling[b] += max((falling[a] for a in range(b) if values[a] >= values[b]), default=0)
+    assert len(chains) == max(falling, default=0)
+
+
+def test_chains_of_long_documents_are_made_in_linear_steps():
+    began = time.monotonic()
+    assert len(line_dedup.aligned_blocks([(i, 0) for i in range(60_000)])) == 60_000
+    assert len(line_dedup.aligned_blocks([(i, -i) for i in range(60_000)])) == 60_000
+    assert time.monotonic() - began < 20
+
+
+def lines_by_brute_force(rows, least=line_dedup.BLOCK_CHARS):
+    """Texts after deletion.  Needs distinct ids, and no line twice in one document."""
+    texts = {i: t for i, t in rows if t}
+    held = {
+        i: [x.strip(" \t\r\x0b\f") for x in t.split("\n")] for i, t in texts.items()
+    }
+    solid = {i: [x for x in lines if x] for i, lines in held.items()}
+    first = {}
+    for i in sorted(solid):
+        for line in solid[i]:
+            first.setdefault(line, i)
+    made = {}
+    for i, text in texts.items():
+        own = solid[i]
+        if any(texts[j] == text for j in texts if j < i):
+            made[i] = ""
+            continue
+        linked = [first[x] != i for x in own]
+        gone, k = [False] * len(own), 0
+        while k < len(own):  # a maximal run that stands so in the first holder
+            m = k + 1
+            if linked[k]:
+                there = solid[first[own[k]]]
+                at = there.index(own[k])
+                while (
+                    m < len(own) and first[own[m]] == first[own[k]]
+                    and there[at + m - k : at + m - k + 1] == [own[m]]
+                ):
+                    m += 1
+                gone[k:m] = [sum(map(len, own[k:m])) >= least] * (m - k)
+            k = m
+        done = list(gone)
+        for k in range(len(own)):
+            a = next((x for x in range(k, -1, -1) if gone[x] or not linked[x]), None)
+            b = next((x for x in range(k, len(own)) if gone[x] or not linked[x]), None)
+            done[k] = a is not None and b is not None and gone[a] and gone[b]
+        stay, k = [], 0
+        for line, shown in zip(held[i], text.split("\n")):
+            if line:
+                stay += [] if done[k] else [shown]
+                k += 1
+            else:
+                sides = [done[x] for x in (k - 1, k) if 0 <= x < len(own)]
+                stay += [] if sides and all(sides) else [shown]
+        made[i] = "\n".join(stay)
+    return made
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_equals_brute_force(documents, seed):
+    rng = random.Random(seed)
+    pool = [*"}{;", "Yes.", "No", "end", *[" ".join(prose(rng, 5)) for _ in range(60)]]
+    passages = [rng.sample(pool, rng.randint(2, 7)) for _ in range(12)]
+    rows = []
+    for i in range(150):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            lines += rng.choice(passages) if rng.random() < 0.6 else [" ".join(prose(rng, 4))]
+            lines += rng.sample(pool, rng.randint(0, 2))
+        lines = [f"{x} " if rng.random() < 0.1 else x for x in dict.fromkeys(lines)]
+        spaced = [y for x in lines for y in ([x, ""] if rng.random() < 0.2 else [x])]
+        rows.append((i, "\n".join(spaced)))
+    rows += [(1000 + i, rows[i][1]) for i in range(5)]
+    found = line_dedup.line_dedup(documents(rows)).collect()
+    assert {r.doc_id: r.text for r in found} == lines_by_brute_force(rows)
+    before = dict(rows)
+    for r in found:
+        assert r.n_lines == before[r.doc_id].count("\n") + 1
+        left = 0 if r.n_deleted == r.n_lines else r.text.count("\n") + 1
+        assert r.n_lines - r.n_deleted == left
 
 
-def test_a_block_needs_a_linking_line():
-    later, earlier = list("abxcd"), list("abycd")
-    assert line_dedup.deleted_lines(later, earlier, {"a"}) == [0, 1]
-    assert line_dedup.deleted_lines(later, earlier, set()) == []
+@pytest.mark.parametrize("seed", range(2))
+def test_deleted_lines_stay_somewhere_and_left_ones_are_explained(documents, seed):
+    """Also where documents repeat lines inside themselves."""
+    rng = random.Random(seed)
+    pool = ["}", "ok", "Yes.", *[" ".join(prose(rng, 4)) for _ in range(12)]]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 30)))) for i in range(60)]
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(rows)).collect()}
+    for i, text in rows:
+        left = Counter(found[i].split("\n"))
+        lost = Counter(text.split("\n")) - left
+        earlier = {x for j, t in rows if j < i for x in t.split("\n")}
+        stays = {x for j in found if j < i for x in found[j].split("\n")}
+        assert set(lost) <= stays
+        assert all(len(x) < line_dedup.BLOCK_CHARS for x in left if x in earlier)
+
+
+def test_lines_that_agree_by_chance_stay(documents):
+    rng = random.Random(15)
+    own = [" ".join(prose(rng, 8)) for _ in range(8)]
+    shared = [" ".join(prose(rng, 8)) for _ in range(2)]
+    rows = [
+        (1, "\n".join([own[0], "}", own[1], "Yes."])),
+        (2, "\n".join([own[2], "}", own[3]])),
+        (3, "\n".join([shared[0], "}", shared[1], own[4]])),
+        (4, "\n".join([own[5], shared[0], "}", shared[1], "Yes.", own[6]])),
+    ]
+    texts = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(rows)).collect()}
+    assert [texts[i] for i in (1, 2, 3)] == [t for _, t in rows[:3]]
+    assert texts[4] == "\n".join([own[5], "Yes.", own[6]])
+
+
+def test_repeats_inside_and_moved_blocks_go(documents):
+    line = [f"a line of its own, number {k}" for k in range(8)]
+    rows = [
+        (1, "\n".join([line[0], line[1], line[0]])),
+        (2, line[0]),
+        (3, "\n".join(["third", line[0]])),
+        (4, "\n".join([line[2], line[3], "fourth", line[4]])),
+        (5, "\n".join([line[4], "fifth", line[2], line[3], line[3]])),
+    ]
+    texts = {r.doc_id: r.text for r in line_dedup.line_dedup(documents(rows)).collect()}
+    assert texts[1] == rows[0][1] and texts[4] == rows[3][1]
+    assert (texts[2], texts[3], texts[5]) == ("", "third", "fifth")
+
+
+def test_a_first_holder_of_very_many_lines_and_partners(documents):
+    """A link is one place on either side, so links grow with the lines of partners."""
+    lines = [f"line number {k} of the first" for k in range(20_000)]
+    rows = [(0, "\n".join(lines)), (1, "\n".join(lines[5:] + ["last"]))]
+    rows += [(10 + i, f"own {i}\n{lines[i]}\n{lines[7]}") for i in range(3000)]
+    docs = documents(rows, extra=())
+    links = line_dedup.line_links(Workspace(docs.sparkSession, "links"), docs)
+    assert links.count() == 19_995 + 2 * 3000
+    found = {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
+    assert found[0] == rows[0][1] and found[1] == "last"
+    assert all(found[10 + i] == f"own {i}" for i in range(3000))
+
+
+def test_line_dedup_of_edge_texts(documents):
+    rows = [*EDGES, (40, "x" * 3_000_000), (41, "y\n" * 200_000), (42, "One two\tthree\nx")]
+    found = line_dedup.line_dedup(documents(rows)).collect()
+    assert len(found) == len(rows)
+    before = {(i, t) for i, t in rows}
+    texts = {(r.doc_id, r.text) for r in found}
+    assert texts - before == {(42, "x")}
 
 
 def test_line_dedup_deletes_from_the_later_document(documents):
