@@ -262,6 +262,39 @@ def test_decontamination_equals_brute_force(spark, documents, monkeypatch, part_
     assert decontamination.decontaminate(documents([]), benchmark).count() == 0
 
 
+def test_decontamination_by_a_benchmark_of_many_groups(spark, documents, monkeypatch):
+    """Passes over one part each, long items cut to pieces, equal one pass over all."""
+    rng = random.Random(16)
+    test = [prose(rng, n) for n in (30, 13, 14, 3, 200, 57)]
+    items = [(k, " ".join(t)) for k, t in enumerate(test)] + [(9, None), (None, "ba ce")]
+    rows = [
+        *EDGES,
+        (100, " ".join(prose(rng, 5) + test[0][3:30] + test[3] + test[1])),
+        (101, " ".join(prose(rng, 300) + test[2])),
+        (101, " ".join(test[4])),
+        (102, " ".join(test[4][100:113] + test[5][7:20] + test[5][8:40])),
+        (103, " ".join(test[0] + test[5])),
+        *[(200 + i, text(rng, 60)) for i in range(10)],
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    docs = documents(rows)
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 20)
+    monkeypatch.setattr(decontamination, "PART_BYTES", 150)
+    monkeypatch.setattr(decontamination, "GROUP", 2)
+    groups = len(list(decontamination.item_parts(benchmark, 13))) / 2
+    assert groups > 3
+    found = decontamination.decontaminate(docs, benchmark)
+    assert found.columns[0] == "doc_id" and "__mask" not in found.columns
+    got = sorted(
+        (repr(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
+        for r in found.collect()
+    )
+    assert got == sorted(brute(rows, [x for x in items if x[0] is not None]))
+    kept = decontamination.clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(not row[-1] for row in got)
+
+
 # -- pipeline ----------------------------------------------------------------
 
 
