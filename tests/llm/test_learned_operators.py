@@ -119,7 +119,8 @@ def test_weights_are_those_of_plain_ftrl(spark, documents):
         if abs(held) > l1:
             rate = (toxicity.BETA + n.get(i, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2
             w = -(held - math.copysign(l1, held)) / rate
-        return min(w, toxicity.PRIOR) if bias else w
+        least = toxicity.LEAST_BIAS if bias else toxicity.LEAST_WEIGHT
+        return max(min(w, toxicity.PRIOR) if bias else w, least)
 
     for _ in range(toxicity.EPOCHS):
         for doc_id, body in ordered:
@@ -136,6 +137,20 @@ def test_weights_are_those_of_plain_ftrl(spark, documents):
     assert all(abs(got[i] - w) < 1e-5 for i, w in want.items())
 
 
+def test_a_toxic_text_cannot_hide_among_harmless_words(spark, documents):
+    """Words of clean texts only, however many, leave two toxic words their say."""
+    rng = random.Random(11)
+    rows, labels = toxic_rows(rng, 400)
+    marks = [f"calm{k}" for k in range(30)]
+    rows = [(i, t if i % 4 == 0 else f"{t} {' '.join(rng.sample(marks, 6))}") for i, t in rows]
+    hidden = (10_000, f"{rows[0][1]} {' '.join(rng.sample(marks, 12))}")
+    docs = documents([*rows, hidden])
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, given).collect()}
+    assert found[10_000] == 1
+    assert sum(found[i] for i, bad in labels if not bad) == 0
+
+
 def test_the_pipeline_s_first_stage_without_labels(spark, documents, tmp_path):
     path = str(tmp_path / "labels.parquet")
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(path)

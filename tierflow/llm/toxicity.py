@@ -2,7 +2,9 @@
 
 Features are the words of a text, pairs of adjacent words and pairs with one word left
 out, each hashed to a coordinate and counted once.  FTRL-proximal keeps a learning rate
-per coordinate, and its L1 term leaves most weights at exactly zero.
+per coordinate, and its L1 term leaves most weights at exactly zero.  Weights are held
+within bounds by clipping, which is the proximal step's exact solution, as it is taken
+coordinate by coordinate.
 
 Labelled rows are dealt to shards by hash.  A shard turns its rows into features once,
 learns from them in a fixed order ``EPOCHS`` times over, and the shards' weights are
@@ -36,6 +38,9 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 EPOCHS = 3
 #: Most that the bias may be: what a text without evidence is held for.
 PRIOR = -0.01
+#: Least that the bias and any other weight may be: harmless words, however many of them a
+#: text holds, say little against a few toxic ones.
+LEAST_BIAS, LEAST_WEIGHT = -2.0, -0.1
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,14 +70,16 @@ class Learner:
         self.z = np.zeros(COORDINATES)
         self.n = np.zeros(COORDINATES)
         self.l1 = np.full(COORDINATES, L1)
+        self.least = np.full(COORDINATES, LEAST_WEIGHT)
         self.most = np.full(COORDINATES, np.inf)
-        self.l1[0], self.most[0] = 0.0, PRIOR
+        self.l1[0], self.least[0], self.most[0] = 0.0, LEAST_BIAS, PRIOR
 
     def weights(self, at) -> np.ndarray:
         z, n, l1 = self.z[at], self.n[at], self.l1[at]
         shrunk = np.sign(z) * l1 - z
         rate = (BETA + np.sqrt(n)) / ALPHA + L2
-        return np.minimum(np.where(np.abs(z) > l1, shrunk / rate, 0.0), self.most[at])
+        best = np.where(np.abs(z) > l1, shrunk / rate, 0.0)
+        return np.clip(best, self.least[at], self.most[at])
 
     def learn(self, at: np.ndarray, label: int) -> None:
         w = self.weights(at)
