@@ -124,9 +124,137 @@ select conv_id, count(*) as n_turns,
 from placed group by conv_id
 """
 
+#: Relation ``crc_steps``: what a checksum's register takes in for each value of its low byte.
+_CRC_STEPS = """
+crc_steps as (
+  select list(step order by byte) as steps from (
+    select byte, list_reduce(list_prepend(byte, range(8)), lambda r, i:
+      case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end) as step
+    from (select unnest(range(256)) as byte))
+)"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned checksum of an ASCII text, beside ``crc_steps``."""
+    return (
+        "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform("
+        f"range(1, length({text}) + 1), lambda k: cast(ascii(substr({text}, k, 1)) as bigint))), "
+        "lambda r, b: xor(r >> 8, steps[(xor(r, b) & 255) + 1])))"
+    )
+
+
+_OP12 = rf"""
+with {_CRC_STEPS}, given as (
+  select doc_id, {_crc32("cast(doc_id as varchar)")} as h,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents, crc_steps
+), planned as (
+  select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as planted,
+    (h // 10) % greatest(len(w), 1) as a, 3 + (h // 10) % 8 as parts
+  from given
+), words as (
+  select doc_id, n, i,
+    w[1 + case when planted and i >= a then a + (i - a) % (1 + (n - a) // parts) else i end]
+      as word
+  from (select *, unnest(range(n)) as i from planned)
+), matches as (
+  -- A run of period q has n >= 4 q words, and its words but the last q recur q later.
+  select x.doc_id, y.i - x.i as q, x.i as i
+  from words x join words y
+    on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n
+), stretches as (
+  select doc_id, q, min(i) as s, count(*) + q as length
+  from (select *, i - row_number() over (partition by doc_id, q order by i) as island
+        from matches)
+  group by doc_id, q, island having count(*) + q >= greatest(6, 4 * q)
+), runs as (
+  -- A stretch whose smallest period is less lies in a stretch of that one.
+  select * from stretches x where not exists (
+    select * from stretches y where y.doc_id = x.doc_id and y.q < x.q and y.s <= x.s
+      and y.s + y.length >= x.s + x.length)
+), listed as (
+  select doc_id, count(*) as n_runs,
+    string_agg(s || ',' || length || ',' || q || chr(10), '' order by s, q) as lines
+  from runs group by doc_id
+), best as (
+  select doc_id, s, length, q from runs
+  qualify row_number() over (partition by doc_id order by length desc, s, q) = 1
+), dropped as (
+  select distinct doc_id, i
+  from (select doc_id, unnest(range(s + q, s + length)) as i from runs)
+), kept as (
+  select doc_id, string_agg(word, ' ' order by i) as body
+  from words anti join dropped using (doc_id, i) group by doc_id
+)
+select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(s as bigint) as start,
+  cast(length as bigint) as length, cast(q as bigint) as period,
+  cast(1000 * length // q as bigint) as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(body, '')) as collapsed_sha256
+from documents left join listed using (doc_id) left join best using (doc_id)
+  left join kept using (doc_id)
+"""
+
+_OP13 = rf"""
+with {_CRC_STEPS}, turns as (
+  select conv_id, row_number() over (
+      partition by conv_id order by turn nulls first, role, text) as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+), convs as (
+  select conv_id, conv_id - conv_id % 20 as base,
+    {_crc32("cast(conv_id as varchar)")} % 4 as h
+  from (select distinct conv_id from turns), crc_steps
+), heads as (
+  select convs.conv_id, place, role, text
+  from convs join turns on turns.conv_id = base and place <= h
+), taken as (
+  select convs.conv_id, h, count(place) as n
+  from convs left join heads using (conv_id) group by convs.conv_id, h
+), rebuilt as (
+  select * from heads
+  union all
+  select conv_id, n + place - h, role, text
+  from turns join taken using (conv_id) where place > h
+), prefixes as (
+  select conv_id, place as depth, string_agg(sha256(role) || sha256(text), '') over (
+      partition by conv_id order by place) as node,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+  from rebuilt
+  union all
+  select conv_id, 0, '', 0 from convs
+), ended as (
+  select *, lag(node) over same as parent,
+    depth = max(depth) over (partition by conv_id) as is_end
+  from prefixes window same as (partition by conv_id order by depth)
+), nodes as (
+  select node, depth, any_value(parent) as parent, min(conv_id) as conv_id,
+    count(*) as n_convs, (count(*) - 1) * any_value(words) as saved,
+    string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where is_end) as ends
+  from ended group by node, depth
+), children as (
+  select parent as node, count(*) as n_children from nodes where depth > 0 group by parent
+), subtrees as (
+  select above.node, count(*) filter (where n_children is null) as n_leaves,
+    sum(below.saved) as saved_tokens
+  from nodes below join prefixes above
+    on above.conv_id = below.conv_id and above.depth <= below.depth
+  left join children on children.node = below.node
+  group by above.node
+)
+select nodes.conv_id, cast(nodes.depth as bigint) as depth,
+  up.conv_id as parent_conv_id, nodes.n_convs,
+  coalesce(n_children, 0) as n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens,
+  sha256(coalesce(nodes.ends, '')) as ends_sha256
+from nodes join subtrees using (node) left join children using (node)
+  left join nodes up on up.node = nodes.parent and nodes.depth > 0
+"""
+
 LLM_ORACLE = {
     "op5_decontamination": _OP5,
     "op8_near_dedup": _OP8,
     "op9_exact_dedup": _OP9,
     "op11_chat_format": _OP11,
+    "op12_periodic_runs": _OP12,
+    "op13_prefix_trie": _OP13,
 }
