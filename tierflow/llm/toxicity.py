@@ -36,6 +36,8 @@ COORDINATES = 1 << 20
 #: A weight moves from zero only once several rows have pushed it the same way.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 EPOCHS = 3
+#: Bytes of text whose features a task holds at once; a longer text is held alone.
+SLICE_BYTES = 4 << 20
 #: Most that the bias may be: what a text without evidence is held for.
 PRIOR = -0.01
 #: Least that the bias and any other weight may be: harmless words, however many of them a
@@ -47,20 +49,20 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Coordinate and text number of every feature; coordinate 0 is the bias."""
     codes, words, offsets = split_words(mapped(texts, ALPHANUMERIC))
     hashed = word_hashes(words)[codes] if len(words) else np.empty(0, np.uint64)
-    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    made, owners = [hashed], [owner]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
+    made, owners = [_coordinates(hashed)], [owner]
     for gap in (1, 2):
         if len(hashed) > gap:
             same = owner[:-gap] == owner[gap:]
             pair = (hashed[:-gap] * MIX + np.uint64(gap)) ^ scrambled(hashed[gap:])
-            made.append(scrambled(pair[same]))
+            made.append(_coordinates(scrambled(pair[same])))
             owners.append(owner[gap:][same])
-    at = np.concatenate(made) % np.uint64(COORDINATES - 1) + np.uint64(1)
-    bias = np.arange(len(texts))
-    return (
-        np.concatenate([at.astype(np.int64), np.zeros(len(texts), np.int64)]),
-        np.concatenate([*owners, bias]),
-    )
+    bias = np.arange(len(texts), dtype=np.int32)
+    return np.concatenate([*made, np.zeros_like(bias)]), np.concatenate([*owners, bias])
+
+
+def _coordinates(hashed: np.ndarray) -> np.ndarray:
+    return (hashed % np.uint64(COORDINATES - 1) + np.uint64(1)).astype(np.int32)
 
 
 class Learner:
@@ -110,11 +112,11 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for piece in text_slices(batch):
+        for piece in text_slices(batch, most=SLICE_BYTES):
             at, owner = features(piece.column("text"))
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(piece.num_rows + 1))
-            at = at[order].astype(np.int32)
+            at = at[order]
             labels = piece.column("toxic").to_pylist()
             for k, own in enumerate(piece.column("shard").to_pylist()):
                 if own != shard:
@@ -167,11 +169,15 @@ def learn(
 
 def text_scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Probability of label 1 of every text; a feature counts once a text."""
-    at, owner = features(texts)
-    heavy = np.flatnonzero(weights[at])
-    pairs = np.unique(owner[heavy] * COORDINATES + at[heavy])
-    values = weights[pairs % COORDINATES].astype(float)
-    return probability(np.bincount(pairs // COORDINATES, values, len(texts)))
+    rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+    sums = [np.empty(0)]
+    for piece in text_slices(rows, most=SLICE_BYTES):
+        at, owner = features(piece.column("text"))
+        heavy = np.flatnonzero(weights[at])
+        pairs = np.unique(owner[heavy].astype(np.int64) * COORDINATES + at[heavy])
+        values = weights[pairs % COORDINATES].astype(float)
+        sums.append(np.bincount(pairs // COORDINATES, values, piece.num_rows))
+    return probability(np.concatenate(sums))
 
 
 def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
