@@ -493,6 +493,7 @@ def near_dedup(
             documents,
             work,
             "doc_id long, n_shingles long, bands array<bigint>, signature binary",
+            slice_bytes=4 << 20,
         )
     )
     nodes = marks.filter("doc_id is not null and n_shingles > 0").withColumnRenamed(
