@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from tests.conftest import plan_of, rows_of
 from tests.test_plans import SPEC, raw_day, roots, write_raw  # noqa: F401  (fixture)
 from tests.test_sinks import content, layer
-from tierflow.operators.matrix import matrix_wide
-from tierflow.plans import conforming
-from tierflow.plans.ledger import LEDGER_SCHEMA, done_days, read_ledger, record
+from tierflow.operators.matrix import MATRIX_KEYS, matrix_wide
+from tierflow.plans import conforming, publishing
+from tierflow.plans.ledger import LEDGER_SCHEMA, RunContext, done_days, read_ledger, record
 from tierflow.plans.local_days import fingerprints, partitions_holding
 from tierflow.plans.verify import verify_outputs
 from tierflow.sinks import partitions, swap
@@ -379,3 +379,53 @@ def test_the_wide_matrix_is_shuffled_once_for_pivot_and_write(spark, path, conf)
     assert report.rows == matrix_wide(long).count()
     bins = [c for c in wide.columns if c.startswith("pos_")]
     assert rows_of(wide.select("AccountId", *bins)) == rows_of(matrix_wide(long).select("AccountId", *bins))
+
+
+def sparse_long(spark, day_of, keys, bins=1):
+    """Long rows of so many keys, some of them NULL, with so many bins each."""
+    return spark.range(0, keys * bins, 1, 4).selectExpr(
+        f"{day_of} as Date", f"if(id div {bins} % 50 = 0, null, cast(id div {bins} as string)) as AccountId",
+        f"cast(id div {bins} % 5 as string) as SiteId", f"cast(id div {bins} % 3 as string) as HouseIdSet",
+        f"cast(id div {bins} % 2 as string) as beltids", f"int(id div {bins}) as linenmbr",
+        f"int(id % {bins}) as position_bin", "0.5D + id as eggsincrease_sum", "1L as sample_count",
+    )
+
+
+def held_by_task(wide):
+    """Rows of each task that makes wide rows, the empty ones left out."""
+    return [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_parts_of_days_bound_what_a_task_pivots(spark):
+    """One day of 6.5 parts, twelve of half a part, and many of a hundredth."""
+    day = "date_add(date'2026-01-01', int(case when id < 6500 then 0 when id < 12500 then 1 + id % 12 else 13 + id % 300 end))"
+    long = sparse_long(spark, day, 15500)
+    sizes = {r["Date"].isoformat(): r["count"] / 1000 for r in long.groupBy("Date").count().collect()}
+    wide = matrix_wide(long, sizes)
+    held = held_by_task(wide)
+    assert sum(held) == 15500 and max(held) < 1400 and 16 <= len(held) <= 18
+    placed = wide.withColumn("task", F.spark_partition_id()).groupBy(*MATRIX_KEYS).count()
+    assert placed.filter("count > 1").isEmpty()
+    assert rows_of(wide) == rows_of(matrix_wide(long))
+
+
+@pytest.mark.parametrize("bins, parts", [(1, 7), (50, 4)])
+def test_a_day_of_many_keys_is_pivoted_in_parts(spark, path, monkeypatch, bins, parts):
+    """Its long rows take few bytes of a file, whatever their wide rows take in memory."""
+    keys = 2000 // bins * (1 if bins == 1 else 5)
+    long = sparse_long(spark, "date'2026-05-01'", keys, bins)
+    telemetry = long.selectExpr(
+        "cast(Date as string) as PartitionDate", "year(Date) as year", "month(Date) as month", *MATRIX_KEYS[1:],
+        "position_bin + 0.5D as distancedonepercent", "eggsincrease_sum as eggsincrease",
+    )
+    replace_partitions(telemetry, conforming.table_path(path, 1))
+    monkeypatch.setattr(publishing, "PART_BYTES", 1 << 20)
+    out = f"{path}/published"
+    reports = publishing.publish_matrices(spark, path, out, RunContext("run", f"{path}/ledger"))
+    assert reports[publishing.WIDE_DATASET].rows == keys
+    assert reports[publishing.LONG_DATASET].rows == keys * bins
+    files = glob.glob(f"{out}/{publishing.WIDE_DATASET}/*/*/Date=2026-05-01/*.parquet")
+    assert abs(len(files) - parts) <= 1
+    written = read_layer(spark, f"{out}/{publishing.WIDE_DATASET}", day_column="Date").drop("year", "month")
+    expected = matrix_wide(long).withColumn("Date", F.col("Date").cast("string"))
+    assert rows_of(written.select(expected.columns)) == rows_of(expected)

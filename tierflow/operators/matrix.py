@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +42,39 @@ def matrix_long(telemetry: DataFrame) -> DataFrame:
 
 
 _PART = "__part"
-
-
-def matrix_wide(long: DataFrame, parts: Mapping[str, int] | None = None) -> DataFrame:
+#: Steps in which a key's hash tells its place among the parts of its day.
+_STEPS = 1 << 30
+#: Days of less than this share of a part are dealt out whole, by their hash.
+_SMALL = 1 / 8
+
+
+def _placed(long: DataFrame, parts: Mapping[str, float]) -> DataFrame:
+    """The rows in parts that a task takes each, the larger days one after another."""
+    large = {day: float(size) for day, size in parts.items() if size >= _SMALL}
+    count = ceil(sum(large.values()))
+    rest = max(1, ceil(sum(size for size in parts.values() if size < _SMALL)))
+    part = F.lit(count) + F.pmod(F.xxhash64("Date"), F.lit(rest))
+    if large:
+        starts = accumulate(large.values(), initial=0.0)
+        spans = F.create_map(
+            *[
+                column
+                for (day, size), start in zip(large.items(), starts)
+                for column in (
+                    F.lit(day),
+                    F.struct(F.lit(start).alias("start"), F.lit(size).alias("size")),
+                )
+            ]
+        )
+        span = F.try_element_at(spans, F.col("Date").cast("string"))
+        share = F.pmod(F.xxhash64(*MATRIX_KEYS[1:]), F.lit(_STEPS)) / F.lit(_STEPS)
+        own = F.floor(span["start"] + share * span["size"])
+        part = F.coalesce(own, part)
+    placed = long.withColumn(_PART, part.cast("int"))
+    return placed.repartitionById(count + rest, _PART)
+
+
+def matrix_wide(long: DataFrame, parts: Mapping[str, float] | None = None) -> DataFrame:
     """One row per key with a column for each of the 100 bins, NULL where empty.
 
     Takes the long matrix: it holds at most one row per key and bin, so a key
@@ -50,19 +82,14 @@ def matrix_wide(long: DataFrame, parts: Mapping[str, int] | None = None) -> Data
     by key once; without that the pivot would shuffle partial rows of 100
     columns each.  The bins are stated, so no job looks for them.
 
-    With ``parts`` the rows of a day come together in so many tasks, one where the day is
-    not named: the wide rows can then be written by day as they are.
+    With ``parts`` a day's keys are spread over as many tasks as are stated, and days of
+    less than one share tasks; a day that is not named comes together in one of them.
+    The wide rows can then be written by day as they are.
     """
     if parts is None:
         gathered, keys = long.repartition(*MATRIX_KEYS), MATRIX_KEYS
     else:
-        many = F.lit(1)
-        if parts:
-            named = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
-            many = F.coalesce(F.try_element_at(named, F.col("Date").cast("string")), many)
-        part = F.pmod(F.xxhash64(*MATRIX_KEYS[1:]), many.cast("bigint"))
-        gathered = long.withColumn(_PART, part).repartition("Date", _PART)
-        keys = ("Date", _PART, *MATRIX_KEYS[1:])
+        gathered, keys = _placed(long, parts), (_PART, *MATRIX_KEYS)
     pivoted = (
         gathered.groupBy(*keys)
         .pivot("position_bin", list(range(BIN_COUNT)))

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tierflow.functions.days import Day, in_days, in_window
 from tierflow.operators.daily import enriched_daily_stats
 from tierflow.operators.lookups import Lookups
-from tierflow.operators.matrix import matrix_long, matrix_wide
+from tierflow.operators.matrix import MATRIX_KEYS, matrix_long, matrix_wide
 from tierflow.plans.conforming import table_path
 from tierflow.plans.ledger import RunContext, logged_step
 from tierflow.plans.local_days import partitions_holding
 from tierflow.plans.verify import Reports, verify_outputs
 from tierflow.sinks.partitions import WriteReport, publish
 from tierflow.sources.declared import TableSpec
-from tierflow.sources.scans import partition_inventory, read_layer
+from tierflow.sources.scans import read_layer
 
 # Names of the published datasets, and the table with positions.
 DAILY_DATASET = "dashboard_daily_stats_table_{}"
@@ -27,8 +27,10 @@ LONG_DATASET = "table_1_matrix_long"
 WIDE_DATASET = "table_1_matrix_wide"
 MATRIX_TABLE_ID = 1
 
-#: Bytes of a day's long matrix that one task pivots and writes.
-PART_BYTES = 64 << 20
+#: Bytes that one task holds to pivot and write: about so many for each row key, whose wide
+#: row stands in both steps of the pivot and in the write's sort, and for each long row.
+PART_BYTES = 256 << 20
+KEY_BYTES, ROW_BYTES = 3 << 10, 1 << 8
 
 
 def daily_rows(
@@ -66,7 +68,7 @@ def publish_matrices(
     """Long matrix from telemetry, wide matrix from the long one just written.
 
     The long rows are shuffled once more, by day and part of a day, for both the pivot and
-    the write; how many parts a day has follows from its files.
+    the write; how many parts a day has follows from its rows and row keys.
     """
     long_path = f"{out_root}/{LONG_DATASET}"
 
@@ -83,7 +85,7 @@ def publish_matrices(
             in_days("Date", report.days)
         )
         dated = written.withColumn("Date", F.col("Date").cast("date"))
-        wide = matrix_wide(dated, _parts(spark, long_path, report.days))
+        wide = matrix_wide(dated, _parts(dated))
         return publish(wide, f"{out_root}/{WIDE_DATASET}", gather=False)
 
     long_report = logged_step(
@@ -100,12 +102,20 @@ def publish_matrices(
     return {LONG_DATASET: long_report, WIDE_DATASET: wide_report}
 
 
-def _parts(spark: SparkSession, path: str, days: Iterable[str]) -> dict[str, int]:
-    """Days that one task should not pivot alone, with their number of parts."""
-    large = partition_inventory(spark, path, "Date").filter(
-        in_days("day", days) & (F.col("bytes") > PART_BYTES)
+def _parts(long: DataFrame) -> dict[str, float]:
+    """Days of a long matrix with the number of tasks, or share of one, that each takes.
+
+    The keys are counted to within some percent, which moves sizes only; a row per day
+    reaches the driver.
+    """
+    key = F.xxhash64(*MATRIX_KEYS[1:])
+    held = long.groupBy(F.col("Date").cast("string").alias("day")).agg(
+        F.approx_count_distinct(key).alias("keys"), F.count(F.lit(1)).alias("rows")
     )
-    return {r.day: -(-r.bytes // PART_BYTES) for r in large.collect()}
+    return {
+        r["day"]: (r["keys"] * KEY_BYTES + r["rows"] * ROW_BYTES) / PART_BYTES
+        for r in held.orderBy("day").collect()
+    }
 
 
 def run(
