@@ -409,6 +409,15 @@ def test_parts_of_days_bound_what_a_task_pivots(spark):
     assert rows_of(wide) == rows_of(matrix_wide(long))
 
 
+def test_narrow_rows_are_not_pivoted_in_few_tasks(spark, conf):
+    """Adaptive execution would see some KB and put them into one task."""
+    conf("spark.sql.shuffle.partitions", "8")
+    conf("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    long = sparse_long(spark, "date_add(date'2026-01-01', int(id % 2))", 4000)
+    held = held_by_task(matrix_wide(long))
+    assert len(held) == 8 and max(held) < 700
+
+
 @pytest.mark.parametrize("bins, parts", [(1, 7), (50, 4)])
 def test_a_day_of_many_keys_is_pivoted_in_parts(spark, path, monkeypatch, bins, parts):
     """Its long rows take few bytes of a file, whatever their wide rows take in memory."""

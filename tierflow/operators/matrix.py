@@ -87,7 +87,9 @@ def matrix_wide(long: DataFrame, parts: Mapping[str, float] | None = None) -> Da
     The wide rows can then be written by day as they are.
     """
     if parts is None:
-        gathered, keys = long.repartition(*MATRIX_KEYS), MATRIX_KEYS
+        # Stated, so that adaptive execution does not put narrow rows into fewer tasks.
+        count = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        gathered, keys = long.repartition(count, *MATRIX_KEYS), MATRIX_KEYS
     else:
         gathered, keys = _placed(long, parts), (_PART, *MATRIX_KEYS)
     pivoted = (

@@ -114,7 +114,7 @@ def _parts(long: DataFrame) -> dict[str, float]:
     )
     return {
         r["day"]: (r["keys"] * KEY_BYTES + r["rows"] * ROW_BYTES) / PART_BYTES
-        for r in held.orderBy("day").collect()
+        for r in held.filter("day is not null").orderBy("day").collect()
     }
 
 
